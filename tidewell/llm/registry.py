@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from . import bpe as _bpe
 from . import decontaminate as _decontaminate
 
 
 def queries() -> dict:
     return {
+        "op2_bpe": _bpe.op2_bpe,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
     }
 
