@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from . import bpe as _bpe
 from . import decontaminate as _decontaminate
+from . import neardup as _neardup
 
 
 def queries() -> dict:
     return {
         "op2_bpe": _bpe.op2_bpe,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
+        "op10_neardup": _neardup.op10_neardup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_decontaminate": _decontaminate.OP6_SQL,
+        "op10_neardup": _neardup.OP10_SQL,
     }
