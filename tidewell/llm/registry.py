@@ -5,10 +5,12 @@ from __future__ import annotations
 from . import bpe as _bpe
 from . import decontaminate as _decontaminate
 from . import neardup as _neardup
+from . import substring as _substring
 
 
 def queries() -> dict:
     return {
+        "op1_substring": _substring.op1_substring,
         "op2_bpe": _bpe.op2_bpe,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
         "op10_neardup": _neardup.op10_neardup,
@@ -17,6 +19,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_substring": _substring.OP1_SQL,
         "op6_decontaminate": _decontaminate.OP6_SQL,
         "op10_neardup": _neardup.OP10_SQL,
     }
