@@ -5,6 +5,8 @@ from __future__ import annotations
 from . import bpe as _bpe
 from . import decontaminate as _decontaminate
 from . import neardup as _neardup
+from . import ogg as _ogg
+from . import sharding as _sharding
 from . import substring as _substring
 
 
@@ -12,7 +14,9 @@ def queries() -> dict:
     return {
         "op1_substring": _substring.op1_substring,
         "op2_bpe": _bpe.op2_bpe,
+        "op3_ogg": _ogg.op3_ogg,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
+        "op9_sharding": _sharding.op9_sharding,
         "op10_neardup": _neardup.op10_neardup,
     }
 
@@ -21,5 +25,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_substring": _substring.OP1_SQL,
         "op6_decontaminate": _decontaminate.OP6_SQL,
+        "op9_sharding": _sharding.OP9_SQL,
         "op10_neardup": _neardup.OP10_SQL,
     }
