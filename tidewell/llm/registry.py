@@ -8,6 +8,7 @@ from . import neardup as _neardup
 from . import ogg as _ogg
 from . import sharding as _sharding
 from . import substring as _substring
+from . import toxicity as _toxicity
 
 
 def queries() -> dict:
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op2_bpe": _bpe.op2_bpe,
         "op3_ogg": _ogg.op3_ogg,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
+        "op7_toxicity": _toxicity.op7_toxicity,
         "op9_sharding": _sharding.op9_sharding,
         "op10_neardup": _neardup.op10_neardup,
     }
