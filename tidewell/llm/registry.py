@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import bpe as _bpe
 from . import decontaminate as _decontaminate
+from . import langid as _langid
 from . import neardup as _neardup
 from . import ogg as _ogg
 from . import sharding as _sharding
@@ -16,6 +17,7 @@ def queries() -> dict:
         "op1_substring": _substring.op1_substring,
         "op2_bpe": _bpe.op2_bpe,
         "op3_ogg": _ogg.op3_ogg,
+        "op5_langid": _langid.op5_langid,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
         "op7_toxicity": _toxicity.op7_toxicity,
         "op9_sharding": _sharding.op9_sharding,
