@@ -7,6 +7,7 @@ from . import decontaminate as _decontaminate
 from . import langid as _langid
 from . import neardup as _neardup
 from . import ogg as _ogg
+from . import pii as _pii
 from . import sharding as _sharding
 from . import substring as _substring
 from . import toxicity as _toxicity
@@ -17,6 +18,7 @@ def queries() -> dict:
         "op1_substring": _substring.op1_substring,
         "op2_bpe": _bpe.op2_bpe,
         "op3_ogg": _ogg.op3_ogg,
+        "op4_pii": _pii.op4_pii,
         "op5_langid": _langid.op5_langid,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
         "op7_toxicity": _toxicity.op7_toxicity,
