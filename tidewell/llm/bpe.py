@@ -1,8 +1,8 @@
 """BPE encoding and decoding by tree concatenation.
 
 A text is cut at ASCII white space, where no piece of the tokenizer can span
-the cut, so both sides agree as they are.  Each distinct run is encoded once in
-a task.  A long unsplit run is normalised and split as the vocabulary file
+the cut, so both sides agree as they are.  Each distinct run of a chunk is
+encoded once, and a task remembers pieces.  A long unsplit run is normalised and split as the vocabulary file
 says; a piece of over ``LEAF`` symbols is cut into a tree of halves, its leaves
 are encoded in one batch (which the library spreads over its threads), and the
 halves are joined level by level: a window of tokens around the join is encoded
@@ -25,42 +25,68 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .runtime import read
-from .textkernel import SPACED, Words, map_text, string_buffers
+from .textkernel import SPACED, Words, chunks, map_text, string_buffers
 
 #: Longest run, in characters, that the library encodes in one go.
 LONG_RUN = 64
 #: Symbols in a leaf of the tree.
 LEAF = 32
-#: Distinct runs that a task remembers.
-CACHE = 400_000
+#: Distinct pieces that a task remembers.
+CACHE = 100_000
+#: Bytes of text or ids handled at once; encoding and decoding run side by side in a task.
+CHUNK = 2 << 20
 
 
 class Codec:
     """A tokenizers file with a BPE model and no decoder: encodes runs, decodes ids."""
 
     def __init__(self, path: str, leaf: int = LEAF, long_run: int = LONG_RUN):
-        from tokenizers import Tokenizer, models
+        from tokenizers import Tokenizer
 
+        self.path, self.leaf, self.long_run = path, leaf, long_run
         self.whole = Tokenizer.from_file(path)
-        spec = json.loads(self.whole.to_str())
-        if spec["model"]["type"] != "BPE" or spec["decoder"] is not None:
-            raise ValueError("this codec wants a BPE model without a decoder")
         self.whole.no_truncation()
         self.whole.no_padding()
-        merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
-        self.suffix = spec["model"]["end_of_word_suffix"] or ""
-        self.inner = Tokenizer(models.BPE(vocab=spec["model"]["vocab"], merges=merges))
-        self.last = Tokenizer(models.BPE(vocab=spec["model"]["vocab"], merges=merges, end_of_word_suffix=self.suffix)) if self.suffix else self.inner
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        if self.whole.decoder is not None or type(self.whole.model).__name__ != "BPE":
+            raise ValueError("this codec wants a BPE model without a decoder")
+        self.model = self.whole.model
+        self.special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        names = self.whole.get_vocab(with_added_tokens=True)
-        self.names = [""] * (max(names.values()) + 1)
-        for name, i in names.items():
-            self.names[i] = name
-        self.width = [len(n.removesuffix(self.suffix)) if self.suffix else len(n) for n in self.names]
-        self.leaf, self.long_run = leaf, long_run
+        self.plain = self._plain_split()
         self.cache: dict[str, bytes] = {}
-        self._tokens = None
+        self._inner = self._width = None
+
+    @property
+    def inner(self):
+        """The same model without word ends, for all leaves but the last."""
+        if self._inner is None:
+            from tokenizers import Tokenizer, models
+
+            with open(self.path, encoding="utf-8") as f:
+                spec = json.load(f)["model"]
+            merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in spec["merges"]]
+            self._inner = Tokenizer(models.BPE(vocab=spec["vocab"], merges=merges))
+        return self._inner
+
+    @property
+    def width(self) -> dict[int, int]:
+        """Symbols of each token."""
+        if self._width is None:
+            suffix = self.model.end_of_word_suffix or ""
+            self._width = {i: len(n.removesuffix(suffix)) if suffix else len(n) for n, i in self.whole.get_vocab(with_added_tokens=True).items()}
+        return self._width
+
+    def _plain_split(self):
+        """The file's own split pattern, if its steps are those that ``run`` takes by itself."""
+        import regex
+
+        if self.whole.pre_tokenizer is None or self.whole.normalizer is None:
+            return None
+        steps = json.loads(self.whole.pre_tokenizer.__getstate__()).get("pretokenizers") or [{}]
+        norms = [n.get("type") for n in json.loads(self.whole.normalizer.__getstate__()).get("normalizers") or []]
+        known = [s.get("type") for s in steps] == ["Split", "ByteLevel"] and norms == ["NFC", "Replace", "Lowercase"]
+        known = known and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
+        return regex.compile(steps[0]["pattern"]["Regex"]) if known else None
 
     def piece(self, symbols: str) -> list[int]:
         """The ids of one piece of the pre-tokenizer, by tree concatenation if it is long."""
@@ -79,7 +105,9 @@ class Codec:
         return parts[0]
 
     def _direct(self, symbols: str, final: bool) -> list[int]:
-        return (self.last if final else self.inner).encode(symbols, add_special_tokens=False).ids
+        if final:
+            return [t.id for t in self.model.tokenize(symbols)]
+        return self.inner.encode(symbols, add_special_tokens=False).ids
 
     def _join(self, left: list[int], right: list[int], symbols: str, at: int, final: bool) -> list[int]:
         i, j = min(2, len(left)), min(2, len(right))
@@ -108,27 +136,53 @@ class Codec:
                     out.extend(self.piece(symbols))
         return out
 
+    def _piece_bytes(self, symbols: str) -> bytes:
+        got = self.cache.get(symbols)
+        if got is None:
+            if len(self.cache) > CACHE:
+                self.cache.clear()
+            got = self.cache[symbols] = array("I", self.piece(symbols)).tobytes()
+        return got
+
+    def run(self, text: str) -> bytes:
+        """One run's ids as little-endian unsigned 32-bit integers.
+
+        Plain Latin runs, which every Unicode version normalises and splits
+        alike, are split here; all others go through the library's own steps.
+        """
+        if self.plain is None or len(text) > self.long_run or not _PLAIN.fullmatch(text) or "<|" in text:
+            return np.array(self.long_text(text), "<u4").tobytes()
+        pieces = self.plain.findall(text.lower())
+        if not text.isascii():
+            pieces = [p if p.isascii() else p.encode().decode("latin-1").translate(_BYTE_LEVEL) for p in pieces]
+        if len(pieces) == 1:
+            return self._piece_bytes(pieces[0])
+        return b"".join([self._piece_bytes(p) for p in pieces])
+
     def runs(self, texts: list[str]) -> list[bytes]:
-        """Each run's ids as little-endian unsigned 32-bit integers."""
-        cache = self.cache
-        if len(cache) > CACHE:
-            cache.clear()
-        new = [t for t in texts if t not in cache]
-        short = [t for t in new if len(t) <= self.long_run]
-        for t, e in zip(short, self.whole.encode_batch(short, add_special_tokens=False), strict=True):
-            cache[t] = array("I", e.ids).tobytes()
-        for t in new:
-            if len(t) > self.long_run:
-                cache[t] = np.array(self.long_text(t), "<u4").tobytes()
-        return [cache[t] for t in texts]
-
-    def tokens(self) -> pa.Array:
-        """The tokens by id, each with a space behind it."""
-        if self._tokens is None:
-            self._tokens = pa.array([n + " " for n in self.names], pa.string())
-        return self._tokens
+        return [self.run(t) for t in texts]
+
+
+#: Runs of printable ASCII and of Latin letters and signs below U+0250.
+_PLAIN = re.compile("[!-~\u00a1-\u024f]+")
+#: Byte-level symbols: printable Latin-1 bytes stand for themselves, the rest count up from U+0100.
+_BYTE_LEVEL = {b: 256 + i for i, b in enumerate(b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
+
+
+def token_table(path: str) -> pa.Array:
+    """The tokens of a tokenizers file by id, each with a space behind it."""
+    from tokenizers import Tokenizer
+
+    if path not in _TABLES:
+        names = Tokenizer.from_file(path).get_vocab(with_added_tokens=True)
+        table = [" "] * (max(names.values()) + 1)
+        for name, i in names.items():
+            table[i] = name + " "
+        _TABLES[path] = pa.array(table, pa.string())
+    return _TABLES[path]
 
 
+_TABLES: dict[str, pa.Array] = {}
 _CODECS: dict[tuple, Codec] = {}
 
 
@@ -153,9 +207,10 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", keep: list[s
         packed = pa.array(codec(vocabulary, leaf=leaf, long_run=long_run).runs(words.uniq.to_pylist()), pa.binary())
         offsets, data = string_buffers(pc.take(packed, pa.array(words.codes)))
         at = offsets[words.offs].astype(np.int32)
+        pa.default_memory_pool().release_unused()
         return [pa.Array.from_buffers(pa.binary(), words.n_docs, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])]
 
-    return map_text(docs, run, [T.StructField(ids, T.BinaryType())], text, keep)
+    return map_text(docs, run, [T.StructField(ids, T.BinaryType())], text, keep, limit=CHUNK)
 
 
 def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -169,21 +224,18 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out:
     kept = [c for c in (encoded.columns if keep is None else keep) if c != out]
 
     def run(batches):
-        tokens = codec(vocabulary).tokens()
+        tokens = token_table(vocabulary)
         for batch in batches:
-            offsets, data = string_buffers(batch.column(len(kept)))
-            own = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4")
-            ends = (offsets - offsets[0]) // 4
-            start = 0
-            while start < batch.num_rows:  # a few million tokens at once
-                end = min(max(int(np.searchsorted(ends, ends[start] + 2_000_000, side="right")) - 1, start + 1), batch.num_rows)
-                spaced = pc.take(tokens, pa.array(own[ends[start] : ends[end]]))
-                o, d = string_buffers(spaced)
-                at = o[ends[start : end + 1] - ends[start]]
+            for part in chunks(batch, "ids", CHUNK):
+                offsets, data = string_buffers(part.column(len(kept)))
+                own = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4")
+                o, d = string_buffers(pc.take(tokens, pa.array(own)))
+                at = o[(offsets - offsets[0]) // 4]
                 body = d.tobytes()
                 texts = [body[a : max(a, b - 1)].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(i).slice(start, end - start) for i in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, out])
-                start = end
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, out])
+                del own, o, d, at, body, texts
+                pa.default_memory_pool().release_unused()
 
     schema = T.StructType([*[T.StructField(c, encoded.schema[c].dataType) for c in kept], T.StructField(out, T.StringType())])
     source = encoded.select(*[encoded[c].alias(f"k{i}") for i, c in enumerate(kept)], encoded[ids].alias("ids"))

@@ -226,7 +226,7 @@ def map_text(
     fields: list[T.StructField],
     text: str = "text",
     keep: list[str] | None = None,
-    setup: Callable[[], None] | None = None,
+    limit: int = CHUNK_BYTES,
 ) -> DataFrame:
     """``docs``' ``keep`` columns (all by default) and what ``fn`` finds for each text.
 
@@ -242,10 +242,8 @@ def map_text(
     types = [to_arrow_type(f.dataType) for f in fields]
 
     def run(batches):
-        if setup:
-            setup()
         for batch in batches:
-            for part in chunks(batch, "t"):
+            for part in chunks(batch, "t", limit):
                 out = fn(part.column(len(kept)), part)
                 arrays = [part.column(i) for i in range(len(kept))]
                 arrays += [a if isinstance(a, pa.Array) else pa.array(a, type=t) for a, t in zip(out, types, strict=True)]
