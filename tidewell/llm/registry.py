@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import bpe as _bpe
 from . import decontaminate as _decontaminate
 from . import langid as _langid
+from . import lmscore as _lmscore
 from . import neardup as _neardup
 from . import ogg as _ogg
 from . import pii as _pii
@@ -22,6 +23,7 @@ def queries() -> dict:
         "op5_langid": _langid.op5_langid,
         "op6_decontaminate": _decontaminate.op6_decontaminate,
         "op7_toxicity": _toxicity.op7_toxicity,
+        "op8_lmscore": _lmscore.op8_lmscore,
         "op9_sharding": _sharding.op9_sharding,
         "op10_neardup": _neardup.op10_neardup,
     }

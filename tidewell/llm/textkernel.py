@@ -201,6 +201,15 @@ def window_any(hit: np.ndarray, size: int, n: int) -> np.ndarray:
     return np.cumsum(delta[:n]) > 0
 
 
+def doc_sums(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """The sum of each document's values, whatever stands before it in the chunk."""
+    out = np.zeros(len(offs) - 1)
+    some = np.flatnonzero(offs[1:] > offs[:-1])
+    if len(some):
+        out[some] = np.add.reduceat(values, offs[:-1][some])
+    return out
+
+
 def rolling_hash(values: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of each run of ``size`` values, order counted."""
     n = len(values) - size + 1
