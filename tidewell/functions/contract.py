@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ..runtime import ship
 from ..schemas import VERDICT
 from .exprs import EVENT_TYPES, TIME_END_US
 
@@ -221,6 +222,7 @@ def _canonical(r: _Reading, unknown: list[str]) -> dict[str, Any]:
 
 def with_verdict(raw: DataFrame, contract: Contract = Contract(), *, raw_json: str = "raw_json", time_us: str = "source_time_us", out: str = "verdict") -> DataFrame:
     """``raw`` and a struct column with each row's verdict."""
+    ship(raw.sparkSession)
     names = [c for c in raw.columns if c != out]
     kind = to_arrow_type(VERDICT)
     source = raw.select(*names)

@@ -5,8 +5,36 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_ATOMS = {"string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "timestamp_ntz": T.TimestampNTZType()}
+
+
+def _parts(spec: str) -> list[str]:
+    """The spec cut at commas outside angle brackets."""
+    out, depth = [""], 0
+    for ch in spec:
+        depth += (ch == "<") - (ch == ">")
+        if ch == "," and not depth:
+            out.append("")
+        else:
+            out[-1] += ch
+    return [x.strip() for x in out]
+
+
+def _type(spec: str) -> T.DataType:
+    if spec.startswith("array<"):
+        return T.ArrayType(_type(spec[6:-1]))
+    if spec.startswith("struct<"):
+        return _struct(spec[7:-1].replace(": ", " "))
+    return _ATOMS[spec]
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """A schema from "name type[ not null], ..." — without a session, unlike StructType.fromDDL."""
+    fields = []
+    for part in _parts(spec):
+        name, kind = part.split(" ", 1)
+        fields.append(T.StructField(name, _type(kind.removesuffix(" not null")), not kind.endswith(" not null")))
+    return T.StructType(fields)
 
 
 LANDING = _struct("source string, log_topic string, log_partition int, log_offset bigint, log_key string, source_time_us bigint, landed_at string, raw_json string")
