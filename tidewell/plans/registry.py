@@ -128,7 +128,7 @@ def queries() -> dict:
         "gold_latest": lambda s, d: c.latest_windows(_windows(s, d)),
         "gold_reconcile": lambda s, d: c.window_reconciliation(_simple(s, d), _windows(s, d), SOURCE),
         "gold_lateness_totals": lambda s, d: c.lateness_totals(_windows(s, d)),
-        "gold_window_lookup": lambda s, d: c.window_lookup(post_windows(s, d), "2024-01-01 10:00:00"),
+        "gold_window_lookup": lambda s, d: c.window_lookup(post_windows(s, d), "2024-01-04 14:35:00"),
         "gold_duplicate_keys": lambda s, d: c.duplicate_windows(_windows(s, d)),
         "bronze_count": lambda s, d: c.raw_count(_raw(s, d)),
         "bronze_recent": lambda s, d: c.raw_recent(_raw(s, d)),
@@ -271,7 +271,7 @@ def oracle_sql() -> dict[str, str]:
         "gold_latest": "SELECT window_start, window_end, post_count, late_post_count, very_late_post_count, out_of_order_post_count, future_dated_post_count, unknown_ingestion_time_count FROM gold ORDER BY window_start DESC, source LIMIT 50",
         "gold_reconcile": "SELECT (SELECT count(*) FROM simple WHERE event_type = 'content_created') AS canonical_post_creates, (SELECT CAST(coalesce(sum(post_count), 0) AS BIGINT) FROM gold) AS window_post_creates",
         "gold_lateness_totals": "SELECT CAST(sum(late_post_count) AS BIGINT) AS post_arrivals_after_window_end, CAST(sum(very_late_post_count) AS BIGINT) AS more_than_10m_after_event_time, CAST(sum(out_of_order_post_count) AS BIGINT) AS out_of_order_in_log_partition, CAST(sum(future_dated_post_count) AS BIGINT) AS events_more_than_5m_ahead_of_ingestion, CAST(sum(unknown_ingestion_time_count) AS BIGINT) AS unknown_ingestion_time FROM gold",
-        "gold_window_lookup": f"SELECT {gold} FROM gold WHERE window_start = TIMESTAMP '2024-01-01 10:00:00'",
+        "gold_window_lookup": f"SELECT {gold} FROM gold WHERE window_start = TIMESTAMP '2024-01-04 14:35:00'",
         "gold_duplicate_keys": _grouped("gold", "source, window_start, window_end"),
         "bronze_count": "SELECT count(*) AS total_events FROM raw",
         "bronze_recent": "SELECT log_partition, log_offset, log_key, ts AS source_time, raw_json FROM raw ORDER BY t DESC, log_partition, log_offset LIMIT 20",
