@@ -4,27 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-PACKAGE = Path(__file__).resolve().parents[1]
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once for each Spark application."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tidewell_shipped", False):
-        return
-    folder = tempfile.mkdtemp(prefix="tidewell_")
-    path = os.path.join(folder, "tidewell_src.zip")
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
-        for file in sorted(PACKAGE.rglob("*.py")):
-            out.write(file, str(file.relative_to(PACKAGE.parent)))
-    sc.addPyFile(path)
-    sc._tidewell_shipped = True
+from ..runtime import ship
+
+__all__ = ["checkpointed", "mix64", "read", "ship", "text_bytes"]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
