@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .runtime import checkpointed, read, ship
-from .textkernel import ALNUM_LOWER, Words, map_text
+from .textkernel import ALNUM_LOWER, Words, doc_sums, map_text
 
 #: Bounds of the labelled sample: documents of each class, documents for the curve.
 MODEL_DOCS, CURVE_DOCS = 4000, 4000
@@ -86,8 +86,7 @@ class Model:
         if len(self.keys):
             p += np.where(self.keys[at] == key, self.kept[:, at], 0.0)
         diff = np.log(p[0]) - np.log(p[1])
-        sums = np.concatenate([[0.0], np.cumsum(diff)])
-        return (sums[words.offs[1:]] - sums[words.offs[:-1]]) / np.maximum(count, 1), count
+        return doc_sums(diff, words.offs) / np.maximum(count, 1), count
 
     @staticmethod
     def _axes(mean: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -123,7 +122,8 @@ class Model:
 
     def scores(self, words: Words) -> np.ndarray:
         mean, count = self.differences(words)
-        return 1 / (1 + np.exp(-np.clip(self._axes(mean, count) @ self.curve, -30, 30)))
+        x = self._axes(mean, count) * self.curve
+        return 1 / (1 + np.exp(-np.clip(x[:, 0] + x[:, 1] + x[:, 2], -30, 30)))
 
 
 def _trigrams(texts: pa.Array, toxic: np.ndarray) -> pa.Table:
