@@ -46,6 +46,12 @@ def reconcile(raw: DataFrame, canonical: DataFrame, quarantined: DataFrame, dupl
     return each.withColumn("unaccounted", F.col("raw") - (F.col("canonical") + F.col("quarantined") + F.col("duplicates")))
 
 
+def reconcile_placed(raw: DataFrame, placed: DataFrame) -> DataFrame:
+    """The same before the products are written, from one row of their counts."""
+    each = raw.agg(F.count(F.lit(1)).alias("raw")).crossJoin(placed)  # one row each
+    return each.withColumn("unaccounted", F.col("raw") - (F.col("canonical") + F.col("quarantined") + F.col("duplicates")))
+
+
 def guard_empty(post_count: int, window_count: int) -> None:
     """No reconciliation of existing windows with a source that has become empty."""
     if post_count == 0 and window_count:

@@ -95,6 +95,21 @@ def outputs(staged: DataFrame) -> Outputs:
     return Outputs(canonical, quarantine, repeats, shapes)
 
 
+def placed(staged: DataFrame) -> DataFrame:
+    """One row: how many judged occurrences are canonical, quarantined and duplicates.
+
+    One aggregate by logical event tells all three: of n accepted occurrences
+    of a commit one is canonical and n - 1 are duplicates.
+    """
+    verdict = F.col("verdict")
+    each = staged.groupBy(verdict["event_id"].alias("event_id"), verdict["rejection_reason"].isNull().alias("ok")).agg(F.count(F.lit(1)).alias("n"))
+    return each.agg(
+        F.coalesce(F.sum(F.when(F.col("ok"), 1)), F.lit(0)).alias("canonical"),
+        F.coalesce(F.sum(F.when(~F.col("ok"), F.col("n"))), F.lit(0)).alias("quarantined"),
+        F.coalesce(F.sum(F.when(F.col("ok"), F.col("n") - 1)), F.lit(0)).alias("duplicates"),
+    )
+
+
 def unplaced(staged: DataFrame, out: Outputs) -> DataFrame:
     """Occurrences that aren't in exactly one of canonical, quarantine and repeats: (occurrence_id, places)."""
     places = out.canonical.select("occurrence_id").unionByName(out.quarantine.select("occurrence_id")).unionByName(out.repeats.select("occurrence_id"))

@@ -61,18 +61,25 @@ def _contract_rows(spark, d):
 
 
 def _reconcile(spark, d):
+    """Where every occurrence went, counted in one pass over the judged events."""
+    staged = reliable.judged(reliable.occurrences(_raw(spark, d), SOURCE))
+    return checks.reconcile_placed(_raw(spark, d), reliable.placed(staged))
+
+
+def _conflicts(spark, d):
     out = _contract(spark, d)
-    return checks.reconcile(_raw(spark, d), out.canonical, out.quarantine, out.repeats)
+    return catalog.payload_conflicts(out.repeats, out.canonical)
 
 
-def _target(spark, d):
+def _target(rows: DataFrame) -> DataFrame:
     """Canonical events as an earlier run left them: those of even log offsets."""
-    return _contract_rows(spark, d).where("log_offset % 2 = 0").withColumn("content_text", F.lit("old"))
+    return rows.where("log_offset % 2 = 0").withColumn("content_text", F.lit("old"))
 
 
 def _merge_one_key(spark, d):
     columns = ["event_id", "log_partition", "log_offset", "content_text"]
-    return merge.insert_only(_target(spark, d).select(*columns), _contract_rows(spark, d).select(*columns), ["event_id"])
+    rows = _contract_rows(spark, d)
+    return merge.insert_only(_target(rows).select(*columns), rows.select(*columns), ["event_id"])
 
 
 def _merge_three_keys(spark, d):
@@ -159,7 +166,7 @@ def queries() -> dict:
         "contract_unknown_fields": lambda s, d: c.unknown_fields(_contract(s, d).canonical),
         "contract_latest": lambda s, d: c.latest(_contract_rows(s, d), ["event_time", "event_type", "entity_id", "content_text", "language_codes", "schema_version"]),
         "contract_reconcile": _reconcile,
-        "contract_payload_conflicts": lambda s, d: c.payload_conflicts(_contract(s, d).repeats, _contract(s, d).canonical),
+        "contract_payload_conflicts": _conflicts,
         "document_languages": _document_languages,
         "merge_insert_only_1key": _merge_one_key,
         "merge_insert_only_3key": _merge_three_keys,
