@@ -179,7 +179,8 @@ def fit(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: s
     shorts = np.sort(top.column("key").to_numpy().astype(np.uint64))
     vocab = spark.sparkContext.broadcast(shorts)
 
-    labelled_docs = own.join(target_ids.select("id", F.lit(1).alias("y")), "id", "left").select("text", F.coalesce("y", F.lit(0)).alias("y"))
+    # A merge join at every size: the ids grow with the corpus, so they are never broadcast.
+    labelled_docs = own.join(target_ids.select("id", F.lit(1).alias("y")).hint("merge"), "id", "left").select("text", F.coalesce("y", F.lit(0)).alias("y"))
 
     def pairs_of(batch: pa.RecordBatch):
         words = Words(batch.column(0), ALNUM_LOWER)
