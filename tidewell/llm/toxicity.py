@@ -7,6 +7,7 @@ counts are continuation counts, of distinct preceding words, as in the lower
 orders of a trigram model: a passage that many copies repeat counts once.  A
 document's two log-likelihoods are compared per word; a logistic curve, fitted
 on documents that neither model has seen, turns the difference into a score.
+Its fit allows for wrong labels.
 
 The models are fitted on at most ``MODEL_DOCS`` documents of each class, as
 many of either, and the curve on at most ``CURVE_DOCS`` documents; all are
@@ -29,8 +30,10 @@ MODEL_DOCS, CURVE_DOCS = 4000, 4000
 #: Least pooled continuation count of a word in the vocabulary, also as a share of all; of a bigram.
 LEAST, LEAST_SHARE, LEAST_PAIR = 8, 1e-4, 10
 DISCOUNT = 0.75
-#: (difference per word, words, label, times) of the curve's made-up documents.
-PRIOR = ((0.3, 200, 1, 4), (0.0, 200, 0, 4))
+#: (evidence, label, weight) of the curve's made-up documents.
+PRIOR = ((0.25, 1.0, 4.0), (0.0, 0.0, 4.0))
+#: Words below which a text counts as short; greatest share of toxic documents labelled 0.
+SHORT, MOST_WRONG = 50, 0.1
 #: What stands before a document's first word, and for words outside the vocabulary.
 START, RARE = np.int64(0x5157A27), np.int64(0x0DDB411)
 
@@ -61,7 +64,7 @@ class Model:
         keys = v * n + w
         order = np.argsort(keys)
         self.keys, self.kept = keys[order], kept[:, order]
-        self.curve = np.zeros(3)
+        self.curve = np.zeros(2)
 
     def _at(self, hashes: np.ndarray) -> np.ndarray:
         n = len(self.vocab)
@@ -89,41 +92,45 @@ class Model:
         return doc_sums(diff, words.offs) / np.maximum(count, 1), count
 
     @staticmethod
-    def _axes(mean: np.ndarray, count: np.ndarray) -> np.ndarray:
-        return np.stack([np.ones(len(mean)), mean, mean * np.sqrt(count)], axis=1)
+    def _evidence(mean: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """The difference per word, drawn towards 0 in short texts."""
+        return mean * np.sqrt(count / (count + SHORT))
 
     def fit_curve(self, mean: np.ndarray, count: np.ndarray, toxic: np.ndarray) -> None:
-        """Logistic regression by Newton's method, lightly ridged.
+        """A logistic curve through labels of which some are wrong.
 
+        Expectation-maximisation: rates of wrong labels in either class give
+        each document a probability, to which Newton's method fits the curve.
         ``PRIOR`` adds a few made-up documents, which steady the curve where
         labels are few and vanish among thousands.
         """
-        for m, n, y, times in PRIOR:
-            mean, count, toxic = np.append(mean, [m] * times), np.append(count, [n] * times), np.append(toxic, [y] * times)
-        x, y = self._axes(mean, count), toxic.astype(float)
-        use = [0, 1, 2]
-        while True:
-            scale = np.maximum(x[:, use].std(axis=0), 1e-9)
-            scale[0] = 1.0
-            z, b = x[:, use] / scale, np.zeros(len(use))
-            ridge = np.diag([1e-6] + [0.1] * (len(use) - 1))
-            for _ in range(100):
+        x, label = self._evidence(mean, count), toxic > 0
+        made = np.array(PRIOR)
+        scale = max(float(np.concatenate([x, made[:, 0]]).std()), 1e-9)
+        z = np.stack([np.ones(len(x) + len(made)), np.concatenate([x, made[:, 0]]) / scale], axis=1)
+        weight = np.concatenate([np.ones(len(x)), made[:, 2]])
+        true = np.where(label, 0.9, 0.02)
+        ridge, b = np.diag([1e-3, 1e-2]), np.zeros(2)
+        for _ in range(100):
+            y = np.concatenate([true, made[:, 1]])
+            for _ in range(50):
                 p = 1 / (1 + np.exp(-np.clip(z @ b, -30, 30)))
-                step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + ridge, z.T @ (y - p) - ridge @ b)
-                b += np.clip(step, -1, 1)
+                step = np.linalg.solve((z * (weight * p * (1 - p))[:, None]).T @ z + ridge, z.T @ (weight * (y - p)) - ridge @ b)
+                b = b + np.clip(step, -1, 1)
                 if np.abs(step).max() < 1e-8:
                     break
-            falling = [u for u, c in zip(use, b, strict=True) if u and c < 0]
-            if not falling:  # evidence never counts against itself
+            p = 1 / (1 + np.exp(-np.clip(z[: len(x)] @ b, -30, 30)))
+            wrong_one = ((1 - true) * label).sum() / max((1 - true).sum(), 1e-9)
+            wrong_zero = min(MOST_WRONG, (true * ~label).sum() / max(true.sum(), 1e-9))
+            new = np.where(label, p * (1 - wrong_zero) / (p * (1 - wrong_zero) + (1 - p) * wrong_one + 1e-300), p * wrong_zero / (p * wrong_zero + (1 - p) * (1 - wrong_one) + 1e-300))
+            moved, true = np.abs(new - true).max(initial=0), new
+            if moved < 1e-7:
                 break
-            use = [u for u in use if u not in falling]
-        self.curve = np.zeros(3)
-        self.curve[use] = b / scale
+        self.curve = np.array([b[0], max(b[1], 0.0) / scale])
 
     def scores(self, words: Words) -> np.ndarray:
-        mean, count = self.differences(words)
-        x = self._axes(mean, count) * self.curve
-        return 1 / (1 + np.exp(-np.clip(x[:, 0] + x[:, 1] + x[:, 2], -30, 30)))
+        x = self.curve[0] + self.curve[1] * self._evidence(*self.differences(words))
+        return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
 def _trigrams(texts: pa.Array, toxic: np.ndarray) -> pa.Table:
