@@ -38,3 +38,14 @@ def tiny():
     if not os.path.isdir(path):
         pytest.skip("no test data")
     return path
+
+
+@pytest.fixture(autouse=True)
+def _logging_stays():
+    import logging
+
+    root = logging.getLogger()
+    handlers, level = root.handlers[:], root.level
+    yield
+    root.handlers[:] = handlers
+    root.setLevel(level)

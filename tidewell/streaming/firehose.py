@@ -31,6 +31,34 @@ def recorded(url: str, position: int | None) -> Iterator[dict]:
                 yield document
 
 
+def connected(url: str, position: int | None, *, silence: float = 90, largest: int = 2 << 20, most_seconds: float = 30) -> Iterator[dict]:
+    """Documents of a live socket, for a while; needs the websockets package.
+
+    The position is in the address.  A silent or broken connection ends the
+    read; the next one goes on from the last position, after a pause that
+    ``backoff`` tells to callers that connect in a loop.
+    """
+    import time
+
+    try:
+        from websockets.exceptions import WebSocketException
+        from websockets.sync.client import connect
+    except ImportError as e:
+        raise RuntimeError("live firehoses need the websockets package") from e
+    end = time.monotonic() + most_seconds
+    try:
+        with connect(url, max_size=largest, ping_interval=20) as socket:
+            while (left := end - time.monotonic()) > 0:
+                try:
+                    document = json.loads(socket.recv(timeout=min(silence, left)))
+                except ValueError:
+                    continue
+                if isinstance(document, dict):
+                    yield document
+    except (TimeoutError, OSError, WebSocketException):
+        return
+
+
 def backoff(failures: int, jitter: Callable[[], float] = random.random) -> float:
     """Seconds before the next connection after that many failures in a row."""
     return min(60.0, 2.0 ** min(failures, 6)) + 0.5 * jitter()

@@ -93,3 +93,25 @@ def land(landing: Landing, batch_size: int = 200) -> Callable[[DataFrame, int],
 def raw_events(landed: DataFrame, batch_id: str) -> DataFrame:
     """Raw-table rows of landing records that a stream brings without batch files."""
     return landed.withColumns({"batch_id": F.lit(batch_id), "landing_path": F.lit(None).cast("string"), "ingested_at": X.now()})
+
+
+def well_formed(log: DataFrame) -> DataFrame:
+    """The rows whose value is a JSON object; others are passed over, as a smoke consumer does."""
+    kind = F.expr("schema_of_variant(try_parse_json(cast(value as string)))")
+    return log.where(F.coalesce(kind.startswith("OBJECT"), F.lit(False)))
+
+
+def smoke_messages(spark: SparkSession, n: int = 5) -> DataFrame:
+    """A few (key, value) rows to try a log with."""
+    number = F.col("id").cast("int").alias("number")
+    return spark.range(n).select(F.concat(F.lit("smoke-"), F.col("id")).alias("key"), F.to_json(F.struct(number, F.lit("smoke").alias("kind"))).alias("value"))
+
+
+def inspect(stream: DataFrame, checkpoint: str, *, show: int = 20, seconds: float = 5, printer: Callable[[str], None] = print) -> StreamingQuery:
+    """Shows some of what arrives; positions are committed after each batch was shown."""
+
+    def each(rows: DataFrame, number: int) -> None:
+        for row in rows.limit(show).collect():
+            printer(f"{number}: {row}")
+
+    return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
