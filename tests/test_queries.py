@@ -36,3 +36,15 @@ def test_results_do_not_depend_on_the_session_zone(spark, tiny):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = ["window_start"]
     assert before.sort_values(key).reset_index(drop=True).equals(after.sort_values(key).reset_index(drop=True))
+
+
+def test_instants_survive_gaps_of_the_session_zone(spark):
+    from tidewell.functions import exprs as X
+
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("select timestamp_ntz'2024-03-10 02:30:00.000001' a, timestamp_ntz'2024-03-10 03:30:00' b").withColumn("us", X.micros("a"))
+        row = df.select("us", X.instant("us").alias("back"), "a", X.delay_seconds("a", "b").alias("d")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert row.us == 1_710_037_800_000_001 and row.back == row.a and row.d == 3599.999999

@@ -24,9 +24,14 @@ def instant(micros: str) -> Column:
     return F.expr(f"timestampadd(MICROSECOND, {micros}, {EPOCH})")
 
 
+def _seconds(start: str, end: str) -> str:
+    """Decimal seconds between instants; timestampdiff would go through the session's zone and its gaps."""
+    return f"cast(cast({end} - {start} as interval second) as decimal(18, 6))"
+
+
 def micros(when: str) -> Column:
     """A UTC instant as epoch microseconds."""
-    return F.expr(f"timestampdiff(MICROSECOND, {EPOCH}, {when})")
+    return F.expr(f"cast({_seconds(EPOCH, when)} * 1000000 as bigint)")
 
 
 def blank(c: Column) -> Column:
@@ -58,7 +63,7 @@ def languages(supplied: Column) -> Column:
 
 
 def delay_seconds(event: str = "event_time", ingested: str = "ingested_at") -> Column:
-    return F.expr(f"timestampdiff(MICROSECOND, {event}, {ingested})") / F.lit(1_000_000.0)
+    return F.expr(_seconds(event, ingested)).cast("double")
 
 
 def flag(condition: Column) -> Column:

@@ -90,13 +90,21 @@ def _merge_three_keys(spark, d):
 
 def _stale(table: DataFrame) -> DataFrame:
     """Windows as an earlier run left them: one in three differs, some are gone, some are superfluous."""
-    at = F.expr("timestampdiff(MINUTE, timestamp_ntz'1970-01-01 00:00:00', window_start)") / 5
-    m = F.pmod(at.cast("long"), F.lit(7))
-    kept = table.where(m != 0).withColumn("post_count", F.when(m % 3 == 0, F.col("post_count") + 1).otherwise(F.col("post_count")))
-    extra = table.where(m == 1).withColumn("window_start", F.expr("window_start + interval '100' day")).withColumn("window_end", F.expr("window_end + interval '100' day"))
-    other = table.where(m == 2).withColumn("source", F.lit("other"))
+    m = F.pmod((X.micros("window_start") / 300_000_000).cast("long"), F.lit(7))
+    later = lambda c: F.expr(f"{c} + interval '100' day").alias(c)
+    own = F.when(m % 3 == 0, F.col("post_count") + 1).otherwise(F.col("post_count")).alias("post_count")
+    rest = [c for c in table.columns if c not in ("source", "window_start", "window_end", "post_count")]
+    row = lambda source, start, end, count: F.struct(source.alias("source"), start, end, count, *rest)
+    here, start, end, count = F.col("source"), F.col("window_start"), F.col("window_end"), F.col("post_count")
+    versions = F.array_compact(
+        F.array(
+            F.when(m != 0, row(here, start, end, own)),
+            F.when(m == 1, row(here, later("window_start"), later("window_end"), count)),
+            F.when(m == 2, row(F.lit("other"), start, end, count)),
+        )
+    )
     old = F.expr("timestamp_ntz'2020-01-01 00:00:00'")
-    return kept.unionByName(extra).unionByName(other).withColumn("aggregate_updated_at", old)
+    return table.select(F.explode(versions).alias("v")).select("v.*").select(*table.columns).withColumn("aggregate_updated_at", old)
 
 
 def _merge_snapshot(spark, d):
