@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import read
+from .runtime import give_back, read, ship
 from .textkernel import SPACED, Words, chunks, map_text, string_buffers
 
 #: Longest run, in characters, that the library encodes in one go.
@@ -33,8 +33,6 @@ LONG_RUN = 64
 LEAF = 32
 #: Distinct pieces that a task remembers.
 CACHE = 100_000
-#: Bytes of text or ids handled at once; encoding and decoding run side by side in a task.
-CHUNK = 2 << 20
 
 
 class Codec:
@@ -207,10 +205,9 @@ def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", keep: list[s
         packed = pa.array(codec(vocabulary, leaf=leaf, long_run=long_run).runs(words.uniq.to_pylist()), pa.binary())
         offsets, data = string_buffers(pc.take(packed, pa.array(words.codes)))
         at = offsets[words.offs].astype(np.int32)
-        pa.default_memory_pool().release_unused()
         return [pa.Array.from_buffers(pa.binary(), words.n_docs, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])]
 
-    return map_text(docs, run, [T.StructField(ids, T.BinaryType())], text, keep, limit=CHUNK)
+    return map_text(docs, run, [T.StructField(ids, T.BinaryType())], text, keep)
 
 
 def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -218,15 +215,13 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out:
 
     Null or empty ids give the empty text.
     """
-    from .runtime import ship
-
     ship(encoded.sparkSession)
     kept = [c for c in (encoded.columns if keep is None else keep) if c != out]
 
     def run(batches):
         tokens = token_table(vocabulary)
         for batch in batches:
-            for part in chunks(batch, "ids", CHUNK):
+            for part in chunks(batch, "ids"):
                 offsets, data = string_buffers(part.column(len(kept)))
                 own = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4")
                 o, d = string_buffers(pc.take(tokens, pa.array(own)))
@@ -235,7 +230,7 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out:
                 texts = [body[a : max(a, b - 1)].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, out])
                 del own, o, d, at, body, texts
-                pa.default_memory_pool().release_unused()
+        give_back()
 
     schema = T.StructType([*[T.StructField(c, encoded.schema[c].dataType) for c in kept], T.StructField(out, T.StringType())])
     source = encoded.select(*[encoded[c].alias(f"k{i}") for i, c in enumerate(kept)], encoded[ids].alias("ids"))

@@ -8,9 +8,31 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from .. import runtime as base
+
+#: Rows in an Arrow batch of whole texts, where the session leaves Spark's own 10,000.
+BATCH_ROWS = 1000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def ship(spark: SparkSession) -> None:
+    """Readies a session: code on the executors, Arrow batches that suit long texts."""
+    base.ship(spark)
+    if spark.conf.get(_ROWS) == "10000":
+        spark.conf.set(_ROWS, str(BATCH_ROWS))
+
+
+def give_back() -> None:
+    """Returns freed memory to the system, so idle workers stay small."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
-__all__ = ["checkpointed", "mix64", "read", "ship", "text_bytes"]
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

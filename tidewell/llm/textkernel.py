@@ -16,10 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .runtime import mix64, ship
+from .runtime import give_back, mix64, ship
 
 #: Text bytes handled at once; a longer document makes a chunk of its own.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def _table(keep, lower: bool) -> bytes:
@@ -257,5 +257,6 @@ def map_text(
                 arrays = [part.column(i) for i in range(len(kept))]
                 arrays += [a if isinstance(a, pa.Array) else pa.array(a, type=t) for a, t in zip(out, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *[f.name for f in fields]])
+        give_back()
 
     return source.mapInArrow(run, T.StructType([*kept_fields, *fields]))
