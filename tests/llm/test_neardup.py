@@ -62,8 +62,9 @@ def test_families_and_common_passages(spark, size):
     check(spark, families(), size)
 
 
-def test_clusters_in_blocks(spark, monkeypatch):
+def test_lists_and_clusters_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "CLUSTER_SHINGLES", 300)
+    monkeypatch.setattr(neardup, "LIST_MEMBERS", 5)
     check(spark, families())
 
 

@@ -13,8 +13,8 @@
 4. Full sets travel to their clusters once.  A cluster counts intersections by
    an inverted index and verifies Jaccard exactly for any two classes that no
    chain of verified links joins yet; its answer is a forest of true links.
-   A cluster of over ``CLUSTER_SHINGLES`` is dealt as pairs of blocks, so no
-   task holds more than two blocks.
+   A list of over ``LIST_MEMBERS`` or a cluster of over ``CLUSTER_SHINGLES`` is
+   dealt as pairs of blocks, so no task holds more than two blocks of it.
 5. Components of the verified forests are the groups.
 """
 
@@ -37,8 +37,8 @@ SHINGLE = 5
 THRESHOLD = 80
 #: Retained values of a set, and how many of them a link shares at least.
 SKETCH, SHARED = 32, 11
-#: Shingles of a cluster's block.
-CLUSTER_SHINGLES = 4_000_000
+#: Shingles of a cluster's block, members of a list's block.
+CLUSTER_SHINGLES, LIST_MEMBERS = 4_000_000, 50_000
 
 
 def shingle_sets(texts: pa.Array, size: int) -> list[np.ndarray]:
@@ -246,8 +246,13 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
         .withColumn("take", F.size("values") - need + 1)
         .where("take > 0")
         .select("key", "n", F.col("high").alias("sketch"), F.explode(F.slice("values", F.lit(1), F.col("take"))).alias("e"))
-        .select(F.col("e.value").alias("value"), "key", "n", "sketch")
+        .select("key", "n", "sketch", "e.df", F.col("e.value").alias("own"))
     )
+    # A list that may exceed a block is dealt as pairs of blocks; a name's collision only adds candidates.
+    blocks = F.ceil(F.col("df") / LIST_MEMBERS).cast("int")
+    chosen = chosen.withColumns({"blocks": blocks, "b": F.pmod(F.xxhash64("key"), blocks).cast("int")})
+    names = F.expr("if(blocks = 1, array(own), transform(sequence(0, blocks - 1), j -> xxhash64(own, least(b, j), greatest(b, j))))")
+    chosen = chosen.select(F.explode(names).alias("value"), "key", "n", "sketch")
     lists = chosen.repartition(_width(spark), "value").sortWithinPartitions("value")
     clusters = components(lists.mapInArrow(_list_forests, _EDGE))
 
