@@ -103,7 +103,7 @@ class _Block:
         data, ends = gather_joined(words.uniq, words.codes[ranges(self.starts[lead], spans)])
         ends = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(spans)])]
         cuts = [0, *(np.flatnonzero(np.diff(buckets)) + 1).tolist(), len(lead)]
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=6)
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             head = np.stack([self.owner[lead[a:b]], spans[a:b]], axis=1).astype("<i8")
             yield int(buckets[a]), b - a, squeeze.compress(head.tobytes() + data[ends[a] : ends[b]].tobytes())
@@ -304,7 +304,8 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^ 	-]+'), []) AS w FROM documents),
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^ 	-
+]+'), []) AS w FROM documents),
 win AS (
   SELECT doc_id, i, hash(array_to_string(w[i:i + 12], ' ')) AS h, array_to_string(w[i:i + 12], ' ') AS t
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
