@@ -39,7 +39,9 @@ def _rules(collection: str, strict: bool) -> list[tuple[Column, str]]:
 
 def stage(raw: DataFrame, *, collection: str = "post", strict: bool = False) -> DataFrame:
     """``raw`` with one row for each log occurrence, its parsed payload, event_id and rejection_reason."""
-    parsed = raw.withColumn("event_id", X.physical_event_id()).dropDuplicates(["event_id"]).withColumn(DOC, F.from_json("raw_json", PAYLOAD))
+    own = raw.withColumn("event_id", X.physical_event_id()).dropDuplicates(["event_id"])
+    # A one-element explode: the optimiser would otherwise copy the parse into every rule of the pushed-down filter.
+    parsed = own.select("*", F.explode(F.array(F.from_json("raw_json", PAYLOAD))).alias(DOC))
     rules = _rules(collection, strict)
     return parsed.withColumn("rejection_reason", F.coalesce(*[F.when(fails, F.lit(reason)) for fails, reason in rules]))
 
