@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -27,9 +28,9 @@ def brute(rows, window=W):
     return out
 
 
-def check(spark, rows, **options):
-    got = [tuple(r) for r in substring.drop_repeats(frame(spark, rows), **options).collect()]
-    assert sorted(got, key=str) == sorted(brute(rows), key=str)
+def check(spark, rows, window=W, **options):
+    got = [tuple(r) for r in substring.drop_repeats(frame(spark, rows), window=window, **options).collect()]
+    assert sorted(got, key=str) == sorted(brute(rows, window), key=str)
 
 
 def test_awkward_rows(spark):
@@ -48,6 +49,18 @@ def test_buckets_that_go_to_files(spark):
     check(spark, rows, block_bytes=3000, bucket_bytes=10)
 
 
+@pytest.mark.parametrize(("window", "mini", "letters", "sizes"), [(4, 2, "ab", (0, 12)), (4, 4, "abc", (0, 9)), (2, 1, "abcdef", (0, 6)), (13, 3, "ab", (10, 40)), (1, 1, "abcdefghij", (0, 4))])
+def test_random_texts_of_few_words(spark, window, mini, letters, sizes):
+    r = random.Random(window * 10 + mini)
+    rows = [(r.randrange(50), " ".join(r.choice(letters) for _ in range(r.randint(*sizes)))) for _ in range(60)]
+    check(spark, rows, window, mini=mini, block_bytes=150, bucket_bytes=r.choice([20, 400]))
+
+
+def test_minimiser_size_is_checked(spark):
+    with pytest.raises(ValueError):
+        substring.drop_repeats(frame(spark, []), window=3, mini=4)
+
+
 def test_windows_are_judged_on_the_input(spark):
     a, b = passage(1, 13), passage(2, 13)
     check(spark, [(1, a), (2, a + " " + b), (3, b)])

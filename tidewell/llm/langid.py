@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 from .runtime import read, ship
 from .textkernel import Words, _table, map_text, ranges, string_buffers
 
-#: Labelled documents of a language that its model is fitted on, about.
-TRAIN_DOCS = 1500
+#: Labelled documents of a language that its model is fitted on, about; most languages learned, those of most documents.
+TRAIN_DOCS, LEARNED = 1500, 200
 #: Places of the hashed trigram tables, the count added to each, rounds of EM for a set.
 SLOTS, ADDED, ROUNDS = 1 << 16, 0.1, 6
 #: Most languages in a document's set.
@@ -108,7 +108,7 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
     own = docs.select(docs[doc_id].alias("id"), docs[lang].cast("string").alias("lang"), docs[text].cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     if training is not None:
         own = own.where(training)
-    sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LEARNED)
     share = F.broadcast(sizes.select("lang", F.least(F.lit(1.0), train_docs / F.col("n")).alias("share")))
     sample = own.join(share, "lang").where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
 

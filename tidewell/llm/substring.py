@@ -255,6 +255,8 @@ def drop_repeats(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     each other's words; rows without a doc_id neither remove nor lose words.
     Other columns are not looked at.
     """
+    if not 1 <= mini <= window:
+        raise ValueError("a minimiser has from one word to a window's")
     spark = docs.sparkSession
     ship(spark)
     total = text_bytes(docs, text)
