@@ -209,3 +209,19 @@ def test_store_versions_history_and_conflicts(store, spark):
     assert table.read().count() == 0
     with pytest.raises(StoreError):
         store["no such"]
+
+
+def test_merges_look_only_into_segments_that_can_hold_a_key(store, spark):
+    table = store["raw_events"]
+    key = ["log_topic", "log_partition", "log_offset"]
+    rows = lambda p, a, b: spark.range(a, b).selectExpr("'t' log_topic", f"{p} log_partition", "id log_offset")
+    full = lambda df: df.selectExpr(*[f"cast({f.name if f.name in df.columns else 'null'} as {f.dataType.simpleString()}) {f.name}" for f in table.schema.fields])
+    for p, a, b in ((0, 0, 10), (0, 10, 20), (1, 0, 10)):
+        table.insert_new(full(rows(p, a, b)), key)
+    state = table._state(table.version)
+    seen = lambda p, a, b: [state["segments"].index(s) for s in table._overlapping(state, rows(p, a, b), key)]
+    assert seen(0, 5, 8) == [0] and seen(0, 8, 12) == [0, 1] and seen(1, 3, 4) == [2] and seen(0, 30, 40) == [] and seen(0, 5, 5) == [0, 1, 2]
+    assert table.insert_new(full(rows(0, 5, 25)), key) == 4 and table.read().count() == 35
+    assert table.insert_new(full(rows(0, 0, 25)), key) == 4
+    table.compact()
+    assert list(table._state(table.version)["ranges"].values())[0]["log_offset"] == [0, 24]

@@ -4,7 +4,9 @@ A table is a folder with data segments and a log of versions.  A version is a
 JSON file that lists the segments it consists of, created only if absent, so
 two writers can't both make version n and readers never see half a write.  An
 append adds one segment, whatever the table's size; a replacement lists new
-segments alone.  Paths go through Hadoop's file system, as Spark's do.
+segments alone.  The log keeps the ranges of each segment's whole-number
+columns, so a merge by log coordinates looks only into segments that its
+offsets can be in.  Paths go through Hadoop's file system, as Spark's do.
 """
 
 from __future__ import annotations
@@ -89,23 +91,49 @@ class Table:
         """The current version; 0 before the first write."""
         return max(self._versions(), default=0)
 
+    def _state(self, version: int) -> dict:
+        """{"segments": names in order, "ranges": {segment: {column: [least, greatest]}}}"""
+        return json.loads(self.files.read(self._entry(version))) if version else {"segments": [], "ranges": {}}
+
     def _segments(self, version: int) -> list[str]:
-        return json.loads(self.files.read(self._entry(version)))["segments"] if version else []
+        return self._state(version)["segments"]
 
     def _entry(self, version: int) -> str:
         return f"{self.home}/_log/{version:020d}.json"
 
     def read(self, version: int | None = None) -> DataFrame:
         """The table now, or as it was in an earlier version."""
-        segments = self._segments(self.version if version is None else version)
+        return self._read(self._segments(self.version if version is None else version))
+
+    def _read(self, segments: list[str]) -> DataFrame:
         if not segments:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*[f"{self.home}/{s}" for s in segments])
 
+    def _ranges(self, rows: DataFrame) -> dict[str, list[int]]:
+        """Least and greatest value of each whole-number column; Parquet's own statistics answer it."""
+        columns = [f.name for f in self.schema.fields if isinstance(f.dataType, (T.LongType, T.IntegerType)) and f.name in rows.columns]
+        if not columns:
+            return {}
+        found = rows.agg(*[F.struct(F.min(c).alias("a"), F.max(c).alias("b")).alias(c) for c in columns]).first()
+        return {c: [found[c]["a"], found[c]["b"]] for c in columns if found[c]["a"] is not None}
+
+    def _overlapping(self, state: dict, incoming: DataFrame, key: list[str]) -> list[str]:
+        """Segments that may hold a key of ``incoming``."""
+        own = self._ranges(incoming.select(*key)) if any(state["ranges"].values()) else {}
+
+        def may(segment: str) -> bool:
+            there = state["ranges"].get(segment, {})
+            return all(there[c][0] <= own[c][1] and own[c][0] <= there[c][1] for c in own.keys() & there.keys())
+
+        return [s for s in state["segments"] if may(s)]
+
     def _publish(self, rows: DataFrame, operation: str, keep: list[str], base: int) -> int:
         segment = f"data/{uuid.uuid4().hex}"
         rows.select(*[F.col(f.name).cast(f.dataType) for f in self.schema.fields]).write.parquet(f"{self.home}/{segment}")
-        entry = {"version": base + 1, "timestamp": datetime.now(UTC).isoformat(), "operation": operation, "segments": [*keep, segment]}
+        known = self._state(base)["ranges"] if keep else {}
+        ranges = {s: known[s] for s in keep if s in known} | {segment: self._ranges(self._read([segment]))}
+        entry = {"version": base + 1, "timestamp": datetime.now(UTC).isoformat(), "operation": operation, "segments": [*keep, segment], "ranges": ranges}
         try:
             self.files.put_if_absent(self._entry(base + 1), json.dumps(entry))
         except StoreError:
@@ -124,10 +152,12 @@ class Table:
     def insert_new(self, incoming: DataFrame, key: list[str]) -> int:
         """Insert-only merge: appends the rows whose key the table hasn't; no version if there are none."""
         base = self.version
-        new = merge.new_rows(self.read(base), merge.require_unique(incoming, key), key)
+        state = self._state(base)
+        there = self._read(self._overlapping(state, incoming, key))
+        new = merge.new_rows(there, merge.require_unique(incoming, key), key)
         if new.isEmpty():
             return base
-        return self._publish(new, "merge", self._segments(base), base)
+        return self._publish(new, "merge", state["segments"], base)
 
     def compact(self, files: int = 1) -> int:
         return self.replace(self.read().coalesce(files), "compact")
