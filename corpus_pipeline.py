@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidewell.llm import bpe, decontaminate, neardup, pii, toxicity
 from tidewell.llm.runtime import read
+from tidewell.plans.store import Files
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,11 +78,20 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows.  Stages are written to the session's shared checkpoint folder."""
+    """The last stage's rows.
+
+    Stages are written to the session's shared checkpoint folder; a stage's
+    files go once the next stage is written, so two copies exist at most.
+    """
+    files = Files(spark)
     shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidewell_checkpoints")
     folder = f"{shared.rstrip('/')}/corpus_pipeline/{uuid.uuid4().hex}"
     docs = read(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            files.delete(before)
+        before = f"{folder}/{name}"
     return docs
