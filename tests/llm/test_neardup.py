@@ -87,20 +87,23 @@ def test_components_of_paths_and_stars(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-def test_forest_joins_what_pairs_join():
-    rng = np.random.default_rng(1)
-    sets = [np.unique(rng.integers(0, 40, 25).astype(np.uint64)) for _ in range(60)]
+@pytest.mark.parametrize("seed", range(25))
+def test_forest_joins_what_pairs_join(seed):
+    rng = np.random.default_rng(seed)
+    m, span = int(rng.integers(2, 70)), int(rng.integers(26, 90))
+    sets = [np.unique(rng.integers(0, span, 25).astype(np.uint64)) for _ in range(m)]
     sizes = np.array([len(s) for s in sets])
-    near = lambda x, others, n: 100 * n >= 55 * (sizes[x] + sizes[others] - n)
+    least = int(rng.integers(20, 70))
+    near = lambda x, others, n: 100 * n >= least * (sizes[x] + sizes[others] - n)
     edges = neardup.forest(sets, near)
-    label = list(range(60))
+    label = list(range(m))
     find = lambda x: x if label[x] == x else find(label[x])
-    for a in range(60):
+    for a in range(m):
         for b in range(a):
             n = len(np.intersect1d(sets[a], sets[b]))
             if near(a, np.array([b]), np.array([n]))[0]:
                 label[find(a)] = find(b)
-    assert len(edges) == 60 - len({find(x) for x in range(60)})
+    assert len(edges) == m - len({find(x) for x in range(m)})
     assert all(find(a) == find(b) for a, b in edges)
 
 

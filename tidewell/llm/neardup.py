@@ -81,8 +81,15 @@ def forest(lists: list[np.ndarray], accept: Callable[[int, np.ndarray, np.ndarra
     at = np.concatenate([[0], np.cumsum(freq)])
     weight = np.bincount(owner, weights=freq[code].astype(float), minlength=m)
     label = np.arange(m)
+    count = np.ones(m, np.int64)
+    largest = 0
     edges: list[tuple[int, int]] = []
     for x in np.argsort(-weight, kind="stable"):
+        if len(edges) == m - 1:
+            break
+        # A pair across the largest component's border is judged from its other end.
+        if count[largest] > 1 and label[x] == largest:
+            continue
         own = code[offs[x] : offs[x + 1]]
         own = own[freq[own] > 1]
         if not len(own):
@@ -92,10 +99,15 @@ def forest(lists: list[np.ndarray], accept: Callable[[int, np.ndarray, np.ndarra
         if not len(met):
             continue
         others, overlaps = np.unique(met, return_counts=True)
-        for y in others[accept(int(x), others, overlaps)]:
-            if label[y] != label[x]:
-                edges.append((int(x), int(y)))
-                label[label == label[y]] = label[x]
+        admitted = others[accept(int(x), others, overlaps)]
+        joined, first = np.unique(label[admitted], return_index=True)
+        if len(joined):
+            edges += [(int(x), int(y)) for y in admitted[first]]
+            here = label[x]
+            count[here] += count[joined].sum()
+            label[np.isin(label, joined)] = here
+            if count[here] > count[largest] or largest in joined:
+                largest = here
     return edges
 
 
