@@ -107,5 +107,21 @@ def test_forest_joins_what_pairs_join(seed):
     assert all(find(a) == find(b) for a, b in edges)
 
 
+def test_union_sketches_one_by_one():
+    r = random.Random(6)
+    rows = []
+    for _ in range(400):
+        pool = [r.randrange(2**32) for _ in range(r.choice([6, 20, 45]))]
+        sets = [sorted(set(r.sample(pool, r.randint(1, len(pool))))) for _ in range(2)]
+        rows.append([np.array(x[: neardup.SKETCH], np.uint64) for x in sets] + [len(x) for x in sets])
+    a, b = (neardup._matrix([r[i] for r in rows]) for i in (0, 1))
+    n, m = (np.array([r[i] for r in rows]) for i in (2, 3))
+    for got, (x, y, p, q) in zip(neardup.near_by_sketch(a, b, n, m), rows):
+        union = sorted(set(x.tolist()) | set(y.tolist()))[: neardup.SKETCH]
+        common = len(set(union) & set(x.tolist()) & set(y.tolist()))
+        want = common >= neardup.SHARED if len(union) == neardup.SKETCH else 100 * (common + 1) >= 80 * len(union)
+        assert got == (want and 100 * min(p, q) >= 80 * max(p, q))
+
+
 def test_sql(spark, tiny):
     assert_same(registry.queries()["op10_neardup"], registry.oracle_sql()["op10_neardup"], spark, tiny)

@@ -162,42 +162,81 @@ def least_shared(n: np.ndarray) -> np.ndarray:
     return np.minimum(SHARED, -(-n * THRESHOLD // 100))
 
 
-def _admit(sketches: list[np.ndarray], sizes: np.ndarray) -> Callable:
+#: Fills the places of sketches shorter than SKETCH.
+_NONE = np.uint64(1 << 32)
+
+
+def _matrix(sketches: list[np.ndarray]) -> np.ndarray:
+    out = np.full((len(sketches), SKETCH), _NONE)
+    for row, s in zip(out, sketches, strict=True):
+        row[: len(s)] = s
+    return out
+
+
+def near_by_sketch(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """For rows of sketches of sets of n and m shingles: whether the union's own sketch admits the pair.
+
+    The union's sketch is the SKETCH smallest values of both; what of it is in
+    both estimates the Jaccard similarity.
+    """
+    both = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    real = both != _NONE
+    twin = np.zeros(both.shape, bool)
+    twin[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
+    rank = np.cumsum(real & ~twin, axis=1)
+    common = (twin & (rank <= SKETCH)).sum(axis=1)
+    union = np.minimum(rank[:, -1], SKETCH)
+    # Halved hashes may rarely coincide, so small sets, which are whole here, get one value's grace.
+    admitted = np.where(union >= SKETCH, common >= SHARED, 100 * (common + 1) >= THRESHOLD * union)
+    return admitted & (100 * np.minimum(n, m) >= THRESHOLD * np.maximum(n, m))
+
+
+def _admit(matrix: np.ndarray, sizes: np.ndarray) -> Callable:
     need = least_shared(sizes)
 
     def accept(x: int, others: np.ndarray, overlaps: np.ndarray) -> np.ndarray:
-        n, m = sizes[x], sizes[others]
-        near = (overlaps >= np.maximum(need[x], need[others])) & (100 * np.minimum(n, m) >= THRESHOLD * np.maximum(n, m))
-        for i in np.flatnonzero(near):  # the union's own sketch, and what of it is in both
-            a, b = sketches[x], sketches[others[i]]
-            union = np.union1d(a, b)[:SKETCH]
-            both = np.intersect1d(a, b, assume_unique=True)
-            common = np.searchsorted(both, union[-1], side="right")
-            # Halved hashes may rarely coincide, so small sets, which are whole here, get one value's grace.
-            near[i] = common >= SHARED if len(union) >= SKETCH else 100 * (common + 1) >= THRESHOLD * len(union)
+        near = overlaps >= np.maximum(need[x], need[others])
+        some = others[near]
+        near[near] = near_by_sketch(np.broadcast_to(matrix[x], (len(some), SKETCH)), matrix[some], sizes[x], sizes[some])
         return near
 
     return accept
 
 
 def _list_forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys: list[bytes] = []
-    pairs: list[tuple[int, int]] = []
-    for table in groups_of(batches, "value"):
-        if table.num_rows < 2:
+    """Forests of the lists in sorted batches; a batch's lists of two are judged together."""
+    held: list[pa.RecordBatch] = []
+
+    def work(part: pa.Table) -> pa.RecordBatch | None:
+        values, sizes = part.column("value").to_numpy(), part.column("n").to_numpy()
+        sketches, keys = _unpack(part.column("sketch"), "<u4"), part.column("key").to_pylist()
+        matrix = _matrix(sketches)
+        cuts = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1, [len(values)]])
+        starts, members = cuts[:-1], np.diff(cuts)
+        twos = starts[members == 2]
+        near = twos[near_by_sketch(matrix[twos], matrix[twos + 1], sizes[twos], sizes[twos + 1])]
+        pairs = [(int(x), int(x) + 1) for x in near]
+        for a, m in zip(starts[members > 2], members[members > 2], strict=True):
+            found = forest(sketches[a : a + m], _admit(matrix[a : a + m], sizes[a : a + m]))
+            pairs += [(int(a) + x, int(a) + y) for x, y in found]
+        return _edges(keys, pairs) if pairs else None
+
+    for batch in batches:
+        if not batch.num_rows:
             continue
-        sketches = _unpack(table.column("sketch"), "<u4")
-        sizes = table.column("n").to_numpy()
-        base = len(keys)
-        found = forest(sketches, _admit(sketches, sizes))
-        if found:
-            keys += table.column("key").to_pylist()
-            pairs += [(base + a, base + b) for a, b in found]
-        if len(pairs) > 50_000:
-            yield _edges(keys, pairs)
-            keys, pairs = [], []
-    if pairs:
-        yield _edges(keys, pairs)
+        values = batch.column(0).to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(values, values[-1], side="left"))  # the last list may go on
+        if held and held[-1].column(0)[held[-1].num_rows - 1].as_py() != values[0]:
+            if (out := work(pa.Table.from_batches(held))) is not None:
+                yield out
+            held = []
+        if cut:
+            if (out := work(pa.Table.from_batches([*held, batch.slice(0, cut)]))) is not None:
+                yield out
+            held = []
+        held.append(batch.slice(cut))
+    if held and (out := work(pa.Table.from_batches(held))) is not None:
+        yield out
 
 
 def _cluster_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
