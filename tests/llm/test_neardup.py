@@ -74,6 +74,15 @@ def test_chain_of_links(spark):
     check(spark, rows)
 
 
+def test_link_between_components_that_were_largest_in_turn(spark):
+    y = passage(11, 103)
+    x, more = y + " " + passage(12, 14), passage(14, 13)
+    texts = [x + " " + passage(13, 12), x, y + " " + more, y + " " + " ".join(more.split()[:12]), y]
+    rows = list(enumerate(texts, 1))
+    assert {r[2] for r in brute(rows, 4)} == {1}
+    check(spark, rows, 4)
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(frame(spark, [])).count() == 0
 

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,11 +85,17 @@ def forest(lists: list[np.ndarray], accept: Callable[[int, np.ndarray, np.ndarra
     count = np.ones(m, np.int64)
     largest = 0
     edges: list[tuple[int, int]] = []
-    for x in np.argsort(-weight, kind="stable"):
+    order = np.argsort(-weight, kind="stable").tolist()
+    passed: list[int] = []
+    for turn, x in enumerate(chain(order, passed)):
         if len(edges) == m - 1:
             break
-        # A pair across the largest component's border is judged from its other end.
+        # A pair across the largest component's border is judged from its other end.  Another component may
+        # take over, so who was passed over has a second turn, when that one stays exempt as it grows.
+        again = turn >= m
         if count[largest] > 1 and label[x] == largest:
+            if not again:
+                passed.append(x)
             continue
         own = code[offs[x] : offs[x + 1]]
         own = own[freq[own] > 1]
@@ -106,7 +113,7 @@ def forest(lists: list[np.ndarray], accept: Callable[[int, np.ndarray, np.ndarra
             here = label[x]
             count[here] += count[joined].sum()
             label[np.isin(label, joined)] = here
-            if count[here] > count[largest] or largest in joined:
+            if largest in joined or not again and count[here] > count[largest]:
                 largest = here
     return edges
 
