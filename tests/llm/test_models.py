@@ -192,6 +192,21 @@ def test_losses_are_of_distributions_when_bigrams_are_cut(spark):
             assert abs(p.sum() - 1) < 1e-9
 
 
+def test_every_word_and_bigram_is_in_the_model(spark):
+    rows = [(20 + i, " ".join(f"w{(i * 97 + k * (1 + i % 5)) % 21_000}" for k in range(150)) + " " + passage(i % 20, 20)) for i in range(300)]
+    rows += [r for r in awkward() if r[0] in (2, 3, 4, 9, 10)]
+    docs, target = frame(spark, rows), {i for i, _ in rows if i % 4 == 0}
+    assert len({w for _, t in rows for w in tokens(t)}) > 16_384
+    model = lmscore.fit(docs, spark.createDataFrame([(i,) for i in target], "id long"))
+    want = slow_losses(rows, target, 10**9)
+    got = lmscore.score(docs, model, keep=["doc_id", "score", "text"]).collect()
+    assert sorted((r.doc_id, r.text or "") for r in got) == sorted((i, t or "") for i, t in rows)
+    for r in got:
+        n, a, b = want[r.doc_id]
+        assert r.n_tokens == n
+        assert (abs(r.target_loss - a) < 1e-9 and abs(r.background_loss - b) < 1e-9 and abs(r.score - (a - b)) < 1e-9) if n else r.score is None
+
+
 def test_packed_counts():
     import numpy as np
 

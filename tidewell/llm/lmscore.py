@@ -1,37 +1,49 @@
 """LM scoring by cross-entropy difference.
 
-Two bigram models, of the target documents and of the whole corpus as
-background, share one vocabulary (the corpus's ``VOCABULARY`` most frequent
-words and one entry for all others), one set of bigrams and one interpolation.
-A document's score is the mean over its tokens of target loss less background
-loss, in nats: low means like the target.
+Two interpolated bigram models, of the target documents and of the whole
+corpus as background, share one vocabulary and one set of bigrams: every word
+and every bigram of the corpus.  A document's score is the mean over its
+tokens of target loss less background loss, in nats: low means like the target.
 
 All counts are taken over all documents.  A task sums its own counts first and
 sends each range of keys as one packed, sorted block; ranges are merged one
-by one.  The model that is broadcast holds at most ``MODEL_BIGRAMS`` bigrams,
-those of the highest background counts; the others back off to words.
+by one and stay packed, so the model grows with the corpus and no machine
+holds more than a range of it.  To score, each chunk of documents asks the
+ranges for the counts of its distinct keys and works on their answers.
+
+``fit`` with ``vocabulary`` and ``model_bigrams`` gives a bounded ``Model``
+instead: the most frequent words and one entry for all others, and the bigrams
+of the highest background counts; the others back off to words.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import checkpointed, read, ship
-from .textkernel import ALNUM_LOWER, Words, doc_sums, map_text
+from .runtime import checkpointed, mix64, read, ship, text_bytes
+from .textkernel import ALNUM_LOWER, Words, chunks, doc_sums, map_text
 from .toxicity import labelled
 
-VOCABULARY, MODEL_BIGRAMS = 16_384, 1_000_000
 #: Share of the bigram model in the interpolation, count added to each word.
 BIGRAM_SHARE, ADDED = 0.6, 1.0
 #: Entries that a task gathers before it sends them.
 HELD = 3_000_000
+#: Text bytes for each range of a whole model's keys.
+RANGE_BYTES = 32 << 20
+#: Low bits of a whole model's keys: a word, a word as history, a bigram.
+WORD, HISTORY, PAIR = np.uint64(0), np.uint64(1), np.uint64(2)
+#: What stands before a document's first word.
+START = np.uint64(0x5157A27 << 2)
+KEY_BITS = 63
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -45,7 +57,7 @@ def unpack(blob: bytes, columns: int) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
     n = len(raw) // (8 * (columns + 1))
     parts = [np.ascontiguousarray(raw[8 * n * i : 8 * n * (i + 1)].reshape(8, n).T).view("<u8").ravel() for i in range(columns + 1)]
-    return np.cumsum(parts[0], dtype=np.uint64), np.stack([p.astype(np.int64) for p in parts[1:]])
+    return np.cumsum(parts[0], dtype=np.uint64), np.array([p.astype(np.int64) for p in parts[1:]], np.int64).reshape(columns, n)
 
 
 def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,11 +70,16 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at, axis=1)
 
 
-def count_keys(source: DataFrame, find: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], columns: int, bits: int) -> DataFrame:
-    """(key, n0, n1, ...): the summed counts of the uint64 keys, below 2 ** bits, that ``find`` gives for batches."""
+def count_keys(source: DataFrame, find: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], columns: int, bits: int, ranges_: int = 0) -> DataFrame:
+    """(key, n0, n1, ...): the summed counts of the uint64 keys, below 2 ** bits, that ``find`` gives for batches.
+
+    With ``ranges_``, that many ranges as they are packed: (part, blob, words, t0, t1), the last three
+    of the keys that are words: how many, and their summed counts.
+    """
     spark = source.sparkSession
     ship(spark)
-    ranges_ = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = ranges_ > 0
+    ranges_ = ranges_ or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     width = -(-(1 << bits) // ranges_)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,6 +111,11 @@ def count_keys(source: DataFrame, find: Callable[[pa.RecordBatch], tuple[np.ndar
 
         def done():
             keys, counts = merged(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held], axis=1))
+            if packed:
+                word = (keys & np.uint64(3)) == WORD
+                sums = [now, pack(keys, counts), int(word.sum()), *counts[:, word].sum(axis=1).tolist()]
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], names=["part", "blob", "words", "t0", "t1"])
+                return
             for a in range(0, len(keys), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 200_000].view(np.int64)), *[pa.array(c[a : a + 200_000]) for c in counts]], names=["key", *[f"n{i}" for i in range(columns)]])
 
@@ -111,6 +133,8 @@ def count_keys(source: DataFrame, find: Callable[[pa.RecordBatch], tuple[np.ndar
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent = source.mapInArrow(gather, "part long, blob binary").repartition(parts, "part").sortWithinPartitions("part")
+    if packed:
+        return sent.mapInArrow(add, "part long, blob binary, words long, t0 long, t1 long")
     return sent.mapInArrow(add, "key long, " + ", ".join(f"n{i} long" for i in range(columns)))
 
 
@@ -161,11 +185,141 @@ def bigram_keys(words: Words, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return v * (len(vocab) + 2) + w, w, v
 
 
-def fit(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabulary: int = VOCABULARY, model_bigrams: int = MODEL_BIGRAMS) -> Model:
+@dataclass
+class Whole:
+    """Counts of every word, history and bigram by model: ``counts`` has rows (part, blob), a row for each range."""
+
+    counts: DataFrame
+    ranges: int
+    tokens: np.ndarray
+    size: int
+
+
+def whole_keys(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, history, bigram) keys of each token."""
+    # Two low bits for the kind, and 63 bits in all.
+    base = (words.uniq_hash() >> np.uint64(1)) & ~np.uint64(3)
+    w = base[words.codes]
+    v = np.empty_like(w)
+    v[1:] = w[:-1]
+    v[words.offs[:-1][words.counts > 0]] = START
+    pair = (mix64(v * np.uint64(0x9E3779B97F4A7C15) + w) >> np.uint64(1)) & ~np.uint64(3)
+    return w | WORD, v | HISTORY, pair | PAIR
+
+
+def _fit_whole(labelled_docs: DataFrame, ranges_: int) -> Whole:
+    def find(batch: pa.RecordBatch):
+        words = Words(batch.column(0), ALNUM_LOWER)
+        is_target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), words.counts)
+        return np.concatenate(whole_keys(words)), np.stack([np.tile(is_target, 3), np.ones(3 * len(words), np.int64)])
+
+    counts = checkpointed(count_keys(labelled_docs, _sliced(find, 2), 2, KEY_BITS, ranges_))
+    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "t0", "t1")]).first()
+    return Whole(counts.select("part", "blob"), ranges_, np.array([sums["t0"], sums["t1"]], float), sums["words"] + 1)
+
+
+def _score_whole(docs: DataFrame, model: Whole, text: str, keep: list[str] | None, fields: list[T.StructField]) -> DataFrame:
+    spark = docs.sparkSession
+    ship(spark)
+    ranges_, tokens, size = model.ranges, model.tokens, model.size
+    width = -(-(1 << KEY_BITS) // ranges_)
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in fields}]
+    source = docs.select(docs[text].cast("string").alias("text"), *[docs[c].alias(f"k{i}") for i, c in enumerate(kept)])
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "blob"])
+                n += 1
+
+    def load(blob: bytes) -> tuple[pa.Table, Words]:
+        table = pa.ipc.open_stream(blob).read_all()
+        return table, Words(table.column("text").combine_chunks(), ALNUM_LOWER)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                keys = np.unique(np.concatenate(whole_keys(load(blob.as_py())[1])))
+                part = (keys // np.uint64(width)).astype(np.int64)
+                cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+                rows = [(int(part[a]), pack(keys[a:b], np.zeros((0, b - a), np.int64))) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
+                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["chunk", "part", "blob"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, keys, counts = None, np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)
+        for batch in batches:
+            out = []
+            for chunk, part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if chunk < 0:  # a range comes before what is asked of it
+                    at, (keys, counts) = part, unpack(blob.as_py(), 2)
+                    continue
+                asked, _ = unpack(blob.as_py(), 0)
+                found = np.zeros((2, len(asked)), np.int64)
+                if at == part:
+                    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+                    found = np.where(keys[place] == asked, counts[:, place], 0)
+                out.append((chunk, part, pack(np.zeros(len(asked), np.uint64), found)))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.binary())], names=["chunk", "part", "blob"])
+
+    def losses(words: Words, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        count = [counts[:, np.searchsorted(keys, own)] for own in whole_keys(words)]
+        word = (count[0] + ADDED) / (tokens + ADDED * size)[:, None]
+        left = np.where(count[1] > 0, 1.0 - BIGRAM_SHARE, 1.0)
+        loss = -np.log(left * word + BIGRAM_SHARE * count[2] / np.maximum(count[1], 1))
+        return np.stack([doc_sums(x, words.offs) for x in loss])
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, answers = None, []
+
+        def done() -> pa.RecordBatch:
+            table, words = load(now)
+            keys = np.unique(np.concatenate(whole_keys(words)))
+            n = words.counts
+            found = np.concatenate([np.zeros((2, 0), np.int64), *answers], axis=1)
+            mean = losses(words, keys, found) / np.maximum(n, 1)
+            none = n == 0
+            arrays = [table.column(f"k{i}").combine_chunks() for i in range(len(kept))]
+            arrays += [pa.array(n, pa.int64()), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[0] - mean[1], mask=none)]
+            return pa.RecordBatch.from_arrays(arrays, names=[*kept, *[f.name for f in fields]])
+
+        for batch in batches:
+            for part, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
+                if part < 0:
+                    if now is not None:
+                        yield done()
+                    now, answers = blob.as_py(), []
+                else:
+                    answers.append(unpack(blob.as_py(), 2)[1])
+        if now is not None:
+            yield done()
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    row = "chunk long, part long, blob binary"
+    # Chunks are numbered once: what is asked and what is answered must agree on them.
+    stored = checkpointed(source.mapInArrow(store, "chunk long, blob binary"))
+    none = F.lit(-1).cast("long")
+    asked = stored.mapInArrow(ask, row).unionByName(model.counts.select(none.alias("chunk"), "part", "blob"))
+    answered = asked.repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(answer, row)
+    both = answered.unionByName(stored.select("chunk", none.alias("part"), "blob"))
+    return both.repartition(parts, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(finish, T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in kept], *fields]))
+
+
+def fit(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabulary: int | None = None, model_bigrams: int | None = None) -> Whole | Model:
     """The two models; ``target_ids`` has the target documents' ids in column id, once each."""
+    if (vocabulary is None) != (model_bigrams is None):
+        raise ValueError("vocabulary and model_bigrams bound a model together")
     spark = docs.sparkSession
     ship(spark)
     own = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
+    # A merge join at every size: the ids grow with the corpus, so they are never broadcast.
+    labelled_docs = own.join(target_ids.select("id", F.lit(1).alias("y")).hint("merge"), "id", "left").select("text", F.coalesce("y", F.lit(0)).alias("y"))
+    if vocabulary is None:
+        return _fit_whole(labelled_docs, max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(own) // RANGE_BYTES))
     hash_bits = 63
 
     def words_of(batch: pa.RecordBatch):
@@ -179,9 +333,6 @@ def fit(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: s
     shorts = np.sort(top.column("key").to_numpy().astype(np.uint64))
     vocab = spark.sparkContext.broadcast(shorts)
 
-    # A merge join at every size: the ids grow with the corpus, so they are never broadcast.
-    labelled_docs = own.join(target_ids.select("id", F.lit(1).alias("y")).hint("merge"), "id", "left").select("text", F.coalesce("y", F.lit(0)).alias("y"))
-
     def pairs_of(batch: pa.RecordBatch):
         words = Words(batch.column(0), ALNUM_LOWER)
         words._hash = words.uniq_hash() >> np.uint64(1)
@@ -216,7 +367,6 @@ def _dense(table: pa.Table, size: int) -> np.ndarray:
 
 def _sliced(find: Callable, columns: int) -> Callable:
     """``find`` over bounded chunks of a batch whose first column is the text."""
-    from .textkernel import chunks
 
     def run(batch: pa.RecordBatch):
         found = [merged(*find(part)) for part in chunks(batch, "text")]
@@ -227,14 +377,18 @@ def _sliced(find: Callable, columns: int) -> Callable:
     return run
 
 
-def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Whole | Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds n_tokens, target_loss, background_loss (nats a token) and score, their difference.
 
     Null and blank texts have no tokens and null losses and score.  Input
     columns of these names give way.
     """
+    names = ["target_loss", "background_loss", "score"]
+    fields = [T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in names]]
+    if isinstance(model, Whole):
+        return _score_whole(docs, model, text, keep, fields)
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by VOCABULARY and MODEL_BIGRAMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by vocabulary and model_bigrams
 
     def run(texts, _):
         words = Words(texts, ALNUM_LOWER)
@@ -244,8 +398,7 @@ def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str]
         none = n == 0
         return [pa.array(n, pa.int64()), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[0] - mean[1], mask=none)]
 
-    names = ["target_loss", "background_loss", "score"]
-    return map_text(docs, run, [T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in names]], text, keep)
+    return map_text(docs, run, fields, text, keep)
 
 
 def op8_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
