@@ -64,6 +64,16 @@ def test_kneser_ney_probabilities_sum_to_one(spark):
             assert abs(model.kept[c][own].sum() + model.back[c][v] - 1) < 1e-9
 
 
+def test_every_word_and_bigram_of_the_sample_is_in_the_toxicity_model(spark):
+    rows = [(i, passage(7000 + i, 30) + (f" vile{i % 3}" if i % 2 else f" mild{i % 3}")) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, rows), labels)
+    once = Words(pa.array(["vile0 vile1 vile2 mild0 mild1 mild2"]), ALNUM_LOWER)
+    assert len(set(model._at(once.uniq_hash().view("int64"))) - {model.rare}) == 6
+    bad, good = (Words(pa.array([t]), ALNUM_LOWER) for t in ("vile0 vile1 vile2", "mild0 mild1 mild2"))
+    assert model.differences(bad)[0][0] > 0.5 > -0.5 > model.differences(good)[0][0]
+
+
 def test_toxicity_without_labels_or_documents(spark):
     docs, labels, _ = labelled_corpus(spark, 20)
     none = toxicity.fit(docs, labels.limit(0))

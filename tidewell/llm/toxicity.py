@@ -22,44 +22,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import checkpointed, read, ship
+from .runtime import checkpointed, give_back, read, ship
 from .textkernel import ALNUM_LOWER, Words, doc_sums, map_text
 
 #: Bounds of the labelled sample: documents of each class, documents for the curve.
 MODEL_DOCS, CURVE_DOCS = 4000, 4000
-#: Least pooled continuation count of a word in the vocabulary, also as a share of all; of a bigram.
-LEAST, LEAST_SHARE, LEAST_PAIR = 8, 1e-4, 10
-DISCOUNT = 0.75
+#: Taken from each pooled count; pooled counts that weigh as much as the order below.
+DISCOUNT, BACKED = 0.75, 10.0
 #: (evidence, label, weight) of the curve's made-up documents.
 PRIOR = ((0.25, 1.0, 4.0), (0.0, 0.0, 4.0))
 #: Words below which a text counts as short; greatest share of toxic documents labelled 0.
 SHORT, MOST_WRONG = 50, 0.1
-#: What stands before a document's first word, and for words outside the vocabulary.
+#: What stands before a document's first word, and for words that the sample hasn't.
 START, RARE = np.int64(0x5157A27), np.int64(0x0DDB411)
 
 
+def _shared(counts: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(counts by class, the same less the discount): of the pooled counts, each class's share.
+
+    Shares are drawn towards ``lower``, those of the order below, by ``BACKED``
+    counts: what is rare says little of its own, and nothing is left out.
+    """
+    both = counts.sum(axis=0)
+    share = (counts + BACKED * lower) / (both + BACKED)
+    return both * share, np.maximum(both - DISCOUNT, 0) * share
+
+
 class Model:
     """Two class-conditional models over a shared vocabulary, and the curve that scores them."""
 
     def __init__(self, words: dict, pairs: dict):
         """``words``: w, t, o, cont; ``pairs``: v, w, t, o — hashes and counts by class, as numpy arrays.
 
-        ``RARE`` stands for all words outside the vocabulary and counts like a word.
+        ``RARE`` stands for all words that the sample hasn't and counts like a word.
         """
         order = np.argsort(words["w"])
         self.vocab = words["w"][order]
         n = len(self.vocab)
         cont = words["cont"][order].astype(float)
         counts = np.stack([words["t"][order], words["o"][order]]).astype(float)
-        totals = np.maximum(counts.sum(axis=1, keepdims=True), 1.0)
-        seen = np.maximum(counts - DISCOUNT, 0) / totals
+        totals = counts.sum(axis=1, keepdims=True)
+        counts, seen = _shared(counts, totals / max(totals.sum(), 1.0))
+        seen = seen / np.maximum(counts.sum(axis=1, keepdims=True), 1.0)
         self.uni = seen + (1.0 - seen.sum(axis=1, keepdims=True)) * (cont + 0.5) / (cont.sum() + 0.5 * max(n, 1))
         self.rare = int(self._at(np.array([RARE]))[0])
         v, w = np.where(pairs["v"] == START, n, self._at(pairs["v"])), self._at(pairs["w"])
         both = np.stack([pairs["t"], pairs["o"]]).astype(float)
-        history = np.concatenate([counts, np.zeros((2, 1))], axis=1)
-        history = np.maximum(history, np.stack([np.bincount(v, x, n + 1) for x in both]))
-        kept = np.maximum(both - DISCOUNT, 0) / np.maximum(history[:, v], 1.0)
+        both, kept = _shared(both, (self.uni / self.uni.sum(axis=0))[:, w])
+        history = np.stack([np.bincount(v, x, n + 1) for x in both])
+        kept = kept / np.maximum(history[:, v], 1e-9)
         self.back = np.stack([1.0 - np.bincount(v, x, n + 1) for x in kept])
         keys = v * n + w
         order = np.argsort(keys)
@@ -154,19 +165,14 @@ def _trigrams(texts: pa.Array, toxic: np.ndarray) -> pa.Table:
 
 
 def _types(trigrams: DataFrame) -> tuple[dict, dict]:
-    """Continuation counts of the vocabulary's words and bigrams by class."""
-    toxic, ordinary = F.sum("t").alias("t"), F.sum(1 - F.col("t")).alias("o")
+    """Continuation counts of all words and bigrams of the sample by class."""
+    toxic, ordinary = F.sum("t").cast("int").alias("t"), F.sum(1 - F.col("t")).cast("int").alias("o")
     pairs = checkpointed(trigrams.distinct().groupBy("v", "w").agg(toxic, ordinary))
-    words = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("cont"))
-    total = words.agg(F.sum("cont").alias("n")).first()["n"] or 0
-    vocab = words.where(F.col("cont") >= max(LEAST, int(LEAST_SHARE * total))).select("w")
-    # Words outside the vocabulary become one.
-    known = pairs.join(F.broadcast(vocab.select("w", F.col("w").alias("kw"))), "w", "left").join(F.broadcast(vocab.select(F.col("w").alias("v"), F.col("w").alias("kv"))), "v", "left")
-    v = F.when(F.col("v") == int(START), F.col("v")).otherwise(F.coalesce("kv", F.lit(int(RARE))))
-    mapped = known.select(v.alias("v"), F.coalesce("kw", F.lit(int(RARE))).alias("w"), "t", "o")
-    both = checkpointed(mapped.groupBy("v", "w").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
-    singles = mapped.groupBy("w").agg(F.sum((F.col("t") > 0).cast("long")).alias("t"), F.sum((F.col("o") > 0).cast("long")).alias("o"), F.count(F.lit(1)).alias("cont"))
-    return _columns(singles), _columns(both.where(F.col("t") + F.col("o") >= LEAST_PAIR))
+    words = _columns(pairs.groupBy("w").agg(F.sum((F.col("t") > 0).cast("long")).alias("t"), F.sum((F.col("o") > 0).cast("long")).alias("o"), F.count(F.lit(1)).alias("cont")))
+    if len(words["w"]):
+        # A word that the sample hasn't is left to the lowest order.
+        words = {c: np.append(x, RARE if c == "w" else np.int64(0)) for c, x in words.items()}
+    return words, _columns(pairs)
 
 
 def _columns(df: DataFrame) -> dict:
@@ -208,6 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str =
 
     trigrams = sample.where("part <> 0").select("text", "y").mapInArrow(count, "u long, v long, w long, t long")
     model = Model(*_types(trigrams))
+    give_back()
 
     def measure(texts, _):
         mean, n = model.differences(Words(texts, ALNUM_LOWER))
