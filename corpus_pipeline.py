@@ -23,9 +23,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the Kneser-Ney models score below 0.5.
 
     Models and curve learn from labels outside op7's held-out fifth.  Null and
-    blank texts have no evidence against them and stay.
+    blank texts have no evidence against them and stay, as do all documents
+    where no label could fit a curve.
     """
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), training=~toxicity.held_out("id"))
+    if not model.curve.any():
+        return docs
     scored = toxicity.score(docs, model, out="toxicity_score_")
     return scored.where("toxicity_score_ < 0.5").select(*docs.columns)
 

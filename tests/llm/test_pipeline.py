@@ -86,5 +86,11 @@ def test_empty_documents(spark, tables, tmp_path):
     assert docs.count() == 0
 
 
+def test_without_labels_no_document_is_toxic(spark, tables, tmp_path):
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    spark.read.parquet(f"{tables}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
+    assert sorted(map(str, rows_of(P.drop_toxic(spark, docs, str(tmp_path))))) == sorted(map(str, rows_of(docs)))
+
+
 def test_oracle_is_none():
     assert P.ORACLE_SQL is None and len(P.STAGES) == 5
