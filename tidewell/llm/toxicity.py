@@ -4,14 +4,19 @@ Two interpolated bigram models, of toxic and of ordinary documents, share one
 vocabulary and one lowest order: the pooled continuation counts, so an
 expression that one class has hardly seen is smoothed alike in both.  All
 counts are continuation counts, of distinct preceding words, as in the lower
-orders of a trigram model: a passage that many copies repeat counts once.  A
-document's two log-likelihoods are compared per word; a logistic curve, fitted
-on documents that neither model has seen, turns the difference into a score.
-Its fit allows for wrong labels.
-
-The models are fitted on at most ``MODEL_DOCS`` documents of each class, as
-many of either, and the curve on at most ``CURVE_DOCS`` documents; all are
-chosen by a hash of doc_id, and their whole texts count.
+orders of a trigram model: a passage that many copies repeat counts once.
+
+A document's two log-likelihoods are compared word by word, and two things
+leave the comparison.  A language or subject that one class's sample holds more
+of moves all its words alike, so each document is measured from its own median
+word.  And words seen a few times differ by chance, so a word tells only what
+it has beyond ``TELLING``.  The rest is averaged over the document's length; a
+logistic curve, fitted on documents that neither model has seen, turns it into
+a score.  Its fit allows for wrong labels.
+
+The models are fitted on at most ``MODEL_DOCS`` documents of each class and the
+curve on at most ``CURVE_DOCS`` documents; all are chosen by a hash of doc_id,
+and their whole texts count.
 """
 
 from __future__ import annotations
@@ -26,9 +31,11 @@ from .runtime import checkpointed, give_back, read, ship
 from .textkernel import ALNUM_LOWER, Words, doc_sums, map_text
 
 #: Bounds of the labelled sample: documents of each class, documents for the curve.
-MODEL_DOCS, CURVE_DOCS = 4000, 4000
+MODEL_DOCS, CURVE_DOCS = 2000, 4000
 #: Taken from each pooled count; pooled counts that weigh as much as the order below.
 DISCOUNT, BACKED = 0.75, 10.0
+#: Log-likelihood difference that a word has to exceed; the excess counts.
+TELLING = 0.8
 #: (evidence, label, weight) of the curve's made-up documents.
 PRIOR = ((0.25, 1.0, 4.0), (0.0, 0.0, 4.0))
 #: Words below which a text counts as short; greatest share of toxic documents labelled 0.
@@ -85,11 +92,11 @@ class Model:
         rare = min(int(np.searchsorted(self.vocab, RARE)), n - 1)
         return np.where(self.vocab[at] == hashes, at, rare).astype(np.int64)
 
-    def differences(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(mean log-likelihood of each document's words as toxic less that as ordinary, words)."""
+    def differences(self, words: Words) -> np.ndarray:
+        """Each word's log-likelihood as toxic less that as ordinary, given the word before it."""
         n, count = len(self.vocab), words.counts
         if not n:
-            return np.zeros(len(count)), count
+            return np.zeros(len(words))
         w = self._at(words.uniq_hash().view(np.int64))[words.codes]
         v = np.empty(len(w), np.int64)
         v[1:] = w[:-1]
@@ -99,8 +106,17 @@ class Model:
         p = self.back[:, v] * self.uni[:, w]
         if len(self.keys):
             p += np.where(self.keys[at] == key, self.kept[:, at], 0.0)
-        diff = np.log(p[0]) - np.log(p[1])
-        return doc_sums(diff, words.offs) / np.maximum(count, 1), count
+        return np.log(p[0]) - np.log(p[1])
+
+    def measure(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(mean of what each document's words exceed its median word and TELLING by, words); 0 without words."""
+        diff, count = self.differences(words), words.counts
+        some = count > 0
+        ranked = diff[np.lexsort((diff, words.doc_of()))]
+        first, middle = words.offs[:-1][some], np.zeros(len(count))
+        middle[some] = (ranked[first + (count[some] - 1) // 2] + ranked[first + count[some] // 2]) / 2
+        beyond = np.maximum(diff - np.repeat(middle, count) - TELLING, 0.0)
+        return doc_sums(beyond, words.offs) / np.maximum(count, 1), count
 
     @staticmethod
     def _evidence(mean: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -140,7 +156,7 @@ class Model:
         self.curve = np.array([b[0], max(b[1], 0.0) / scale])
 
     def scores(self, words: Words) -> np.ndarray:
-        x = self.curve[0] + self.curve[1] * self._evidence(*self.differences(words))
+        x = self.curve[0] + self.curve[1] * self._evidence(*self.measure(words))
         return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
@@ -193,7 +209,13 @@ def labelled(labels: DataFrame, *, label: str = "toxic", doc_id: str = "doc_id")
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str = "doc_id", label: str = "toxic", training=None, model_docs: int = MODEL_DOCS, curve_docs: int = CURVE_DOCS) -> Model:
-    """The fitted model.  ``training`` is a condition on column id; other labels aren't looked at."""
+    """The fitted model.  ``training`` is a condition on column id; other labels aren't looked at.
+
+    Null and blank texts add nothing.  A document repeated under one id counts
+    as often as it stands there, though its bigrams count once; ties in the
+    choice of the sample go by id.  Without labels of both classes, or without
+    documents, no curve is fitted (``curve`` is zero) and every score is 0.5.
+    """
     ship(docs.sparkSession)
     own = labelled(labels, label=label, doc_id=doc_id)
     if training is not None:
@@ -201,7 +223,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str =
     own = own.join(docs.select(docs[doc_id].alias("id")).distinct(), "id", "left_semi")
     own = checkpointed(own)
     sizes = {(r["y"], r["curve"]): r["n"] for r in own.groupBy("y", (F.col("part") == 0).alias("curve")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    each = min(model_docs, sizes.get((0, False), 0), sizes.get((1, False), 0))
+    each = model_docs if (0, False) in sizes and (1, False) in sizes else 0
     chosen = own.where("part <> 0 AND y = 1").orderBy("rank", "id").limit(each).unionByName(own.where("part <> 0 AND y = 0").orderBy("rank", "id").limit(each))
     chosen = chosen.unionByName(own.where("part = 0").orderBy("rank", "id").limit(curve_docs))
     texts = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
@@ -217,7 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, text: str = "text", doc_id: str =
     give_back()
 
     def measure(texts, _):
-        mean, n = model.differences(Words(texts, ALNUM_LOWER))
+        mean, n = model.measure(Words(texts, ALNUM_LOWER))
         return [pa.array(mean), pa.array(n, pa.int64())]
 
     seen = _columns(map_text(sample.where("part = 0"), measure, [T.StructField("mean", T.DoubleType()), T.StructField("n", T.LongType())], "text", ["y"]))
