@@ -35,4 +35,6 @@ def awkward():
         (None, None),
         (11, passage(5, 20_000)),
         (12, passage(6, 20) + " " + base[: len(base) // 2] + " " + passage(7, 20)),
+        (13, "\x0b".join(base.split()[:30]) + "\x0c" + "\r\n".join(base.split()[30:]) + "\r"),
+        (14, base.replace(" ", "\u00a0")),
     ]

@@ -78,6 +78,45 @@ def test_colliding_hashes_fall_back_to_words():
     assert substring._beaten([np.array([1, 1, 2]), np.array([1, 1, 1])], np.array([9, 3, 1])).tolist() == [0]
 
 
+def test_strings_with_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(substring._Block, "_sums", lambda self, hashes: np.zeros(len(self.starts), np.uint64))
+    texts = [passage(1, 20), passage(2, 20), passage(1, 20), passage(2, 20)]
+    block = substring._Block(pa.array([4, 3, 2, 1]), pa.array(texts), 13, 3, 1, np.zeros(0, np.uint64))
+    words = lambda i: block.words.codes[block.starts[i] : block.starts[i] + block.spans[i]].tolist()
+    for i, place in enumerate(block.place):
+        assert words(i) == words(block.leaders[place])
+
+
+def test_windows_in_files_with_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(substring, "rolling_hash", lambda hashes, size: np.zeros(len(hashes) - size + 1, np.uint64))
+    texts = [passage(1, 14), passage(2, 13), passage(1, 14)]
+    files = substring._Files(13)
+    for i, t in enumerate(texts):
+        own = substring._Strings.__new__(substring._Strings)
+        own.body, own.starts = t + " ", np.arange(len(t.split()) - 12)
+        own.ids = np.full(len(own.starts), i)
+        files.add(own)
+    assert files.bits().tolist() == [False, False, False, True, True]
+
+
+def test_frequent_minimisers_come_last(spark):
+    common = passage(77, 8)
+    rows = [(i, " ".join(f"{passage(20 * i + k, 4)} {common}" for k in range(12))) for i in range(50)]
+    docs = frame(spark, rows)
+    found = substring._frequent(docs, 10**6, 40, 13, 3)
+    assert 0 < len(found) < 100
+    check(spark, rows + awkward(), block_bytes=4000, bucket_bytes=1000)
+
+
 @pytest.mark.parametrize("name", ["op1_substring"])
 def test_sql(name, spark, tiny):
     assert_same(registry.queries()[name], registry.oracle_sql()[name], spark, tiny)
+
+
+def test_sql_splits_words_at_every_white_space(spark, spaced_tables):
+    assert_same(registry.queries()["op1_substring"], registry.oracle_sql()["op1_substring"], spark, spaced_tables)

@@ -10,9 +10,14 @@ A bucket sorts its windows by hash, compares equal ones word for word, finds
 each window's least doc_id and returns one bit per window and string: whether
 a smaller doc_id has that window too.  The block then marks every window that
 an earlier document of its own has in the same string, or that has its bit set.
-A bucket that grows beyond four times ``BUCKET_BYTES`` goes on in files on the
-task's own disk, one for each share of the window hashes; these are sorted one
-by one, with 128 bits of hash for a window in place of its words.
+
+Any order of the runs gives the same result, so runs that would be the
+minimisers of more than a bucket's worth of windows, as a sample shows, come
+last in it: a window has one of them only if all its runs are such.  A bucket
+that still grows beyond four times ``BUCKET_BYTES`` goes on in files on the
+task's own disk, as Spark's sorts do, one for each share of the window hashes;
+these are sorted one by one, and equal hashes are compared word for word there
+too.
 """
 
 from __future__ import annotations
@@ -28,14 +33,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import mix64, read, ship, text_bytes
-from .textkernel import SPACED, Words, gather_joined, inside, ranges, rolling_hash
+from .runtime import checkpointed, mix64, read, ship, text_bytes
+from .textkernel import SPACED, Words, chunks, gather_joined, inside, map_text, ranges, rolling_hash
 
 WINDOW = 13
 #: Words in a minimiser.
 MINI = 3
 #: Text bytes of a block of documents and of a bucket of super-k-mers, about.
 BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
+#: Text bytes, or a thousandth of the text if that is more, in which frequent minimisers are looked for; most of them that are
+#: put last.  Only the buckets' balance depends on either.
+SAMPLE_BYTES, FREQUENT = 16 << 20, 1_000_000
+#: Text bytes for each partition of an exchange, about.
+PARTITION_BYTES = 32 << 20
+
+
+def _slices(ends: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """Runs of items, whose sizes sum up to ``ends``, of ``limit`` in all or one item."""
+    a = 0
+    while a < len(ends):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + limit, side="right")))
+        yield a, b
+        a = b
+
+
+def _minimisers(hashes: np.ndarray, window: int, mini: int, frequent: np.ndarray) -> np.ndarray:
+    """The least run of ``mini`` words in each window of words; frequent ones come last."""
+    parts = rolling_hash(hashes, mini) >> np.uint64(1)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, parts), len(frequent) - 1)
+        parts |= (frequent[at] == parts).astype(np.uint64) << np.uint64(63)
+    n = max(0, len(hashes) - window + 1)
+    least = parts[:n].copy()
+    for j in range(1, window - mini + 1):
+        np.minimum(least, parts[j : j + n], out=least)
+    return least
 
 
 class _Block:
@@ -44,7 +76,7 @@ class _Block:
     Documents without an id have no windows: nothing is smaller than they are.
     """
 
-    def __init__(self, ids: pa.Array, texts: pa.Array, window: int, mini: int, buckets: int):
+    def __init__(self, ids: pa.Array, texts: pa.Array, window: int, mini: int, buckets: int, frequent: np.ndarray):
         named = pc.is_valid(ids).to_numpy(zero_copy_only=False)
         numbers = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False).astype(np.int64)
         self.order = np.argsort(numbers, kind="stable")
@@ -54,12 +86,7 @@ class _Block:
         ok = inside(doc, window)
         ok = np.flatnonzero(ok & named[doc[: len(ok)]])
         hashes = words.hashes()
-        parts = rolling_hash(hashes, mini)
-        n = max(0, len(words) - window + 1)
-        least = parts[:n].copy()
-        for j in range(1, window - mini + 1):
-            np.minimum(least, parts[j : j + n], out=least)
-        least = least[ok]
+        least = _minimisers(hashes, window, mini, frequent)[ok]
         new = np.ones(len(ok), bool)
         new[1:] = (least[1:] != least[:-1]) | (np.diff(ok) != 1) | (doc[ok[1:]] != doc[ok[:-1]])
         at = np.flatnonzero(new)
@@ -68,18 +95,34 @@ class _Block:
         self.spans = self.sizes + window - 1  # and words
         self.owner = self.ids[doc[self.starts]]
         self.bucket = (mix64(least[at]) % np.uint64(buckets)).astype(np.int64)
-        # Strings are one if 128 bits of hash over their words agree.
+        # Strings with one hash come together; they are one if their words agree.
         low, high = self._sums(hashes), self._sums(mix64(hashes ^ np.uint64(0xA5A5A5A5)))
         order = np.lexsort((high, low, self.bucket))
         lead = np.ones(len(at), bool)
         for x in (self.bucket, low, high, self.spans):
             y = x[order]
             lead[1:] = y[1:] != y[:-1] if x is self.bucket else lead[1:] | (y[1:] != y[:-1])
+        lead |= self._strange(order, lead)
         # Each string's place among the distinct ones, in the order of buckets; the sort is stable, so the least id leads.
         self.place = np.empty(len(at), np.int64)
         self.place[order] = np.cumsum(lead) - 1
         self.leaders = order[lead]
 
+    def _strange(self, order: np.ndarray, lead: np.ndarray) -> np.ndarray:
+        """Strings, in ``order``, whose words aren't those of the one before with the same hash; they lead a run of their own.
+
+        A run that is cut so may split equal strings; its bucket compares them again.
+        """
+        out = np.zeros(len(order), bool)
+        at = np.flatnonzero(~lead)
+        spans = np.cumsum(self.spans[order[at]])
+        for a, b in _slices(spans, 1 << 20):
+            own, before = order[at[a:b]], order[at[a:b] - 1]
+            size, codes = self.spans[own], self.words.codes
+            differs = codes[ranges(self.starts[own], size)] != codes[ranges(self.starts[before], size)]
+            out[at[a:b]] = np.add.reduceat(differs, np.cumsum(size) - size) > 0
+        return out
+
     def _sums(self, hashes: np.ndarray) -> np.ndarray:
         """Hash of each super-k-mer's words in order, from prefix sums."""
         base = 0x9E3779B97F4A7C15
@@ -138,6 +181,59 @@ class _Strings:
         self.starts = ranges(np.cumsum(spans) - spans, self.sizes)
 
 
+class _Files:
+    """A bucket's windows on disk: their words, and records by share of the hashes."""
+
+    def __init__(self, window: int):
+        self.window = window
+        self.words = tempfile.TemporaryFile()
+        self.shares = [tempfile.TemporaryFile() for _ in range(64)]
+        self.total = self.bytes = 0
+
+    def add(self, strings: _Strings) -> None:
+        body = strings.body.encode()
+        ends = np.flatnonzero(np.frombuffer(body, np.uint8) == 32)  # a space behind each word
+        begins = np.concatenate([[0], ends[:-1] + 1])
+        out = np.zeros(len(strings.starts), _RECORD)
+        out["h"] = rolling_hash(Words(pa.array([strings.body]), SPACED).hashes(), self.window)[strings.starts]
+        out["id"], out["at"] = strings.ids, self.total + np.arange(len(out))
+        out["pos"] = self.bytes + begins[strings.starts]
+        out["len"] = ends[strings.starts + self.window - 1] - begins[strings.starts]
+        share = (out["h"] >> np.uint64(58)).astype(int)
+        for k in np.unique(share):
+            self.shares[k].write(out[share == k].tobytes())
+        self.words.write(body)
+        self.total += len(out)
+        self.bytes += len(body)
+
+    def bits(self) -> np.ndarray:
+        bits = np.zeros(self.total, bool)
+        self.words.flush()
+        body = np.memmap(self.words, np.uint8, "r") if self.bytes else np.zeros(0, np.uint8)
+        for f in self.shares:
+            f.seek(0)
+            own = np.frombuffer(f.read(), _RECORD)
+            f.close()
+            keys = [own["h"]] if self._agree(own, body) else [self._codes(own, body)]
+            bits[own["at"][_beaten(keys, own["id"])]] = True
+        return bits
+
+    @staticmethod
+    def _agree(own: np.ndarray, body: np.ndarray) -> bool:
+        """Whether windows with one hash have the same words."""
+        own = own[np.argsort(own["h"], kind="stable")]
+        at = np.flatnonzero(own["h"][1:] == own["h"][:-1])
+        x, y = own[at], own[at + 1]
+        if (x["len"] != y["len"]).any():
+            return False
+        return all((body[ranges(x["pos"][a:b], x["len"][a:b])] == body[ranges(y["pos"][a:b], y["len"][a:b])]).all() for a, b in _slices(np.cumsum(x["len"]), 1 << 24))
+
+    @staticmethod
+    def _codes(own: np.ndarray, body: np.ndarray) -> np.ndarray:
+        codes: dict[bytes, int] = {}
+        return np.array([codes.setdefault(body[p : p + n].tobytes(), len(codes)) for p, n in zip(own["pos"].tolist(), own["len"].tolist(), strict=True)], np.int64)
+
+
 class _Bucket:
     """Collects a bucket's blobs, then tells which of its windows a smaller id has too."""
 
@@ -145,9 +241,8 @@ class _Bucket:
         self.bucket, self.window, self.limit = bucket, window, limit
         self.blobs: list[tuple[int, int, bytes]] = []
         self.raw = 0
-        self.files = None
+        self.files: _Files | None = None
         self.sent: list[tuple[int, int]] = []  # (block, windows) of what has gone to files
-        self.total = 0
 
     def add(self, block: int, n: int, blob: bytes) -> None:
         self.blobs.append((block, n, blob))
@@ -156,32 +251,18 @@ class _Bucket:
             self._spill()
 
     def _spill(self) -> None:
-        if self.files is None:
-            self.files = [tempfile.TemporaryFile() for _ in range(64)]
+        self.files = self.files or _Files(self.window)
         for block, n, blob in self.blobs:
             own = _Strings(n, blob, self.window)
-            hashes = Words(pa.array([own.body]), SPACED).hashes()
-            out = np.zeros(len(own.starts), _RECORD)
-            out["h"], out["g"] = rolling_hash(hashes, self.window)[own.starts], rolling_hash(mix64(~hashes), self.window)[own.starts]
-            out["id"], out["at"] = own.ids, self.total + np.arange(len(out))
-            share = (out["h"] >> np.uint64(58)).astype(int)
-            for k in np.unique(share):
-                self.files[k].write(out[share == k].tobytes())
-            self.sent.append((block, len(out)))
-            self.total += len(out)
+            self.files.add(own)
+            self.sent.append((block, len(own.starts)))
         self.blobs, self.raw = [], 0
 
     def answers(self) -> Iterator[tuple[int, np.ndarray]]:
         """(block, a bit for each window of its strings)."""
         if self.files is not None:
             self._spill()
-            bits = np.zeros(self.total, bool)
-            for f in self.files:
-                f.seek(0)
-                own = np.frombuffer(f.read(), _RECORD)
-                f.close()
-                bits[own["at"][_beaten([own["h"], own["g"]], own["id"])]] = True
-            sent = self.sent
+            bits, sent = self.files.bits(), self.sent
         else:
             strings = [_Strings(n, blob, self.window) for _, n, blob in self.blobs]
             words = Words(pa.array(["".join(s.body for s in strings)], pa.string()), SPACED)
@@ -202,7 +283,7 @@ class _Bucket:
             at += n
 
 
-_RECORD = np.dtype([("h", "<u8"), ("g", "<u8"), ("id", "<i8"), ("at", "<i8")])
+_RECORD = np.dtype([("h", "<u8"), ("id", "<i8"), ("at", "<i8"), ("pos", "<i8"), ("len", "<i8")])
 
 
 def _beaten(keys: list[np.ndarray], ids: np.ndarray) -> np.ndarray:
@@ -245,6 +326,27 @@ def _count_buckets(batches: Iterator[pa.RecordBatch], window: int, limit: int) -
         yield from done(now)
 
 
+def _frequent(texts: DataFrame, total: int, buckets: int, window: int, mini: int) -> np.ndarray:
+    """Sorted runs that are the minimisers of more than a bucket's worth of a sample's distinct windows."""
+    share = min(1.0, max(SAMPLE_BYTES, total // 1000) / max(total, 1))
+    sample = texts.where(F.pmod(F.xxhash64("text", F.lit(3)), F.lit(1 << 20)) < share * (1 << 20))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                words = Words(part.column(0), SPACED)
+                hashes = words.hashes()
+                ok = np.flatnonzero(inside(words.doc_of(), window))
+                _, first = np.unique(rolling_hash(hashes, window)[ok], return_index=True)
+                runs, n = np.unique(_minimisers(hashes, window, mini, np.zeros(0, np.uint64))[ok[first]], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(runs.view(np.int64)), pa.array(n, pa.int64())], names=["run", "n"])
+
+    found = checkpointed(sample.select("text").mapInArrow(count, "run long, n long").groupBy("run").agg(F.sum("n").alias("n")))
+    windows = found.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    top = found.where(F.col("n") >= max(8, windows // buckets)).orderBy(F.desc("n"), "run").limit(FREQUENT).toArrow()
+    return np.sort(top.column("run").to_numpy().astype(np.uint64))
+
+
 def drop_repeats(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, mini: int = MINI, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_text.
 
@@ -262,23 +364,25 @@ def drop_repeats(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
     total = text_bytes(docs, text)
     blocks = max(1, -(-total // block_bytes))
     buckets = max(1, -(-3 * total // bucket_bytes))
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // PARTITION_BYTES)
     own = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
-    dealt = own.select(F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(blocks)).alias("block"), "doc_id", "text")
+    frequent = spark.sparkContext.broadcast(_frequent(own, total, buckets, window, mini))  # FREQUENT numbers at most
+    named = own.where("doc_id IS NOT NULL")
+    dealt = named.select(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("block"), "doc_id", "text").repartition(width, "block")
 
     def cut(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        block = _Block(_one(table["doc_id"]), _one(table["text"]), window, mini, buckets)
+        block = _Block(_one(table["doc_id"]), _one(table["text"]), window, mini, buckets, frequent.value)
         rows = list(block.packed())
         number = table["block"][0].as_py()
         return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "block": pa.array([number] * len(rows), pa.int64()), "n": pa.array([r[1] for r in rows], pa.int64()), "blob": pa.array([r[2] for r in rows], pa.binary())})
 
     strings = dealt.groupBy("block").applyInArrow(cut, "bucket long, block long, n long, blob binary")
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_strings = strings.repartition(width, "bucket").sortWithinPartitions("bucket")
     answers = sorted_strings.mapInArrow(lambda batches: _count_buckets(batches, window, 4 * bucket_bytes), "block long, bucket long, bits binary")
 
     def keep(left: pa.Table, right: pa.Table) -> pa.Table:
-        block = _Block(_one(left["doc_id"]), _one(left["text"]), window, mini, buckets)
+        block = _Block(_one(left["doc_id"]), _one(left["text"]), window, mini, buckets, frequent.value)
         gone = block.removed(dict(zip(right["bucket"].to_pylist(), right["bits"].to_pylist(), strict=True)), window)
         sums = np.concatenate([[0], np.cumsum(gone)])
         offs, body = block.words.joined(~gone)
@@ -293,7 +397,18 @@ def drop_repeats(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_id",
             }
         )
 
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(keep, "doc_id long, n_words long, n_removed long, kept_text string")
+    row = "doc_id long, n_words long, n_removed long, kept_text string"
+    found = dealt.groupBy("block").cogroup(answers.repartition(width, "block").groupBy("block")).applyInArrow(keep, row)
+
+    def whole(texts: pa.Array, _) -> list:
+        words = Words(texts, SPACED)
+        offs, body = words.joined()
+        data = body.tobytes()
+        return [pa.array(words.counts, pa.int64()), pa.array(np.zeros(len(texts), np.int64)), [data[a : max(a, b - 1)].decode() for a, b in zip(offs[:-1], offs[1:], strict=True)]]
+
+    # Rows without an id lose nothing, so they need no exchange.
+    fields = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())]
+    return found.unionByName(map_text(own.where("doc_id IS NULL"), whole, fields, "text", ["doc_id"]))
 
 
 def _one(column: pa.ChunkedArray) -> pa.Array:
@@ -306,8 +421,7 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^ 	-
-]+'), []) AS w FROM documents),
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents),
 win AS (
   SELECT doc_id, i, hash(array_to_string(w[i:i + 12], ' ')) AS h, array_to_string(w[i:i + 12], ' ') AS t
   FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
