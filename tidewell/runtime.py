@@ -23,3 +23,17 @@ def ship(spark: SparkSession) -> None:
             out.write(file, str(file.relative_to(PACKAGE.parent)))
     sc.addPyFile(path)
     sc._tidewell_shipped = True
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder that the driver and all executors see: the session's ``spark.checkpoint.dir``.
+
+    Only a session on this machine alone may leave it unset and gets a
+    temporary folder; on a cluster that would be another folder on each node.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "tidewell_checkpoints")

@@ -5,14 +5,14 @@ This is another product than the corrected batch windows, which drop nothing.
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..runtime import shared_root
+
 LAG, WIDTH = "10 minutes", "5 minutes"
 
 
@@ -30,9 +30,8 @@ def append_available(stream: DataFrame, target: str, checkpoint: str) -> Streami
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder that all executors see: under spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidewell_checkpoints")
-    return f"{base.rstrip('/')}/{name}/{uuid.uuid4().hex}"
+    """A new folder that the driver and all executors see."""
+    return f"{shared_root(spark)}/{name}/{uuid.uuid4().hex}"
 
 
 def windows_once(spark: SparkSession, events: str) -> DataFrame:
