@@ -16,16 +16,16 @@ def brute(rows, items, window=13):
     wins = {}
     for i, t in items:
         w = words(t)
-        if i is not None and w:
+        if w:
             for a in range(max(1, len(w) - window + 1)):
-                wins.setdefault(tuple(w[a : a + window]), set()).add(str(i))
+                wins.setdefault(tuple(w[a : a + window]), set()).update([] if i is None else [str(i)])
     sizes = {len(k) for k in wins}
     out = []
     for i, t in rows:
         w, hit, found = words(t), set(), set()
         for size in sizes:
             for a in range(len(w) - size + 1):
-                if own := wins.get(tuple(w[a : a + size])):
+                if (own := wins.get(tuple(w[a : a + size]))) is not None:
                     hit |= set(range(a, a + size))
                     found |= own
         out.append((i, len(w), len(hit), sorted(found), bool(hit) and 20 * len(hit) >= len(w)))
@@ -75,3 +75,14 @@ def test_empty_tables(spark):
 
 def test_sql(spark, tiny):
     assert_same(registry.queries()["op6_decontaminate"], registry.oracle_sql()["op6_decontaminate"], spark, tiny)
+
+
+def test_sql_with_white_space_of_all_kinds_and_an_item_without_id(spark, spaced_tables):
+    assert_same(registry.queries()["op6_decontaminate"], registry.oracle_sql()["op6_decontaminate"], spark, spaced_tables)
+
+
+def test_window_that_many_items_share(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WINDOWS", 50)
+    items = [(i, passage(60, 13) + f" own{i}") for i in range(300)]
+    got = decontaminate.scan_contamination(frame(spark, [(1, passage(60, 13)), (2, passage(60, 13) + " own7")]), bench(spark, items), keep=["doc_id"]).collect()
+    assert {r.doc_id: (r.n_hit, len(r["items"])) for r in got} == {1: (13, 300), 2: (14, 300)}

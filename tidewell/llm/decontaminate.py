@@ -3,9 +3,12 @@
 A benchmark item's windows are its runs of ``window`` normalised words; an item
 with fewer words, but not none, is one window.  Training texts are scanned once:
 words are looked up in the benchmark's vocabulary, window hashes in its sorted
-hash set, and each hit is verified word for word.  Benchmark windows are
-broadcast in blocks of at most ``BLOCK_WINDOWS``, and a task holds one block at
-a time, so a benchmark of any size is handled exactly in bounded memory.
+hash set, and each hit is verified word for word.  Pairs of a window and an
+item that has it are broadcast in blocks of about ``BLOCK_WINDOWS``, whatever
+windows and items they are of.  A task holds one block at a time and takes the
+more text between two the more blocks there are, so a benchmark of any size is
+handled exactly in bounded memory, and loading blocks stays a small part of
+the work.
 """
 
 from __future__ import annotations
@@ -19,18 +22,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import mix64, read, ship
-from .textkernel import ALNUM_LOWER, Words, inside, map_text, rolling_hash
+from .runtime import checkpointed, mix64, read, shared_folder, ship
+from .textkernel import ALNUM_LOWER, CHUNK_BYTES, Words, inside, map_text, rolling_hash
 
 WINDOW = 13
-#: Most windows in a broadcast block: some 25 MB with their words.
+#: Windows in a broadcast block, about: some 25 MB with their words.
 BLOCK_WINDOWS = 200_000
+#: Most times that a chunk of text grows with the number of blocks.
+MOST_CHUNKS = 16
 
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
 
 
 def _windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> DataFrame:
-    """Rows (words, items): each distinct window and the items that have it."""
+    """Distinct rows (words, item): windows and items that have them, null where an item has no id."""
 
     def rows(texts, _):
         words = Words(texts, ALNUM_LOWER)
@@ -42,42 +47,42 @@ def _windows(benchmark: DataFrame, item_id: str, text: str, window: int) -> Data
         return [out]
 
     found = map_text(benchmark, rows, [T.StructField("windows", T.ArrayType(T.StringType()))], text, [item_id])
-    return (
-        found.select(F.col(item_id).cast("string").alias("item"), F.explode("windows").alias("words"))
-        .where("item IS NOT NULL")
-        .groupBy("words")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
-    )
+    return found.select(F.explode("windows").alias("words"), F.col(item_id).cast("string").alias("item")).distinct()
 
 
 def _block(rows) -> dict:
-    vocab = sorted({w for r in rows for w in r["words"].split(" ")})
+    items: dict[str, list] = {}
+    for r in rows:
+        items.setdefault(r["words"], []).extend([] if r["item"] is None else [r["item"]])
+    vocab = sorted({w for words in items for w in words.split(" ")})
     code = {w: i for i, w in enumerate(vocab)}
     by_len: dict[int, list] = {}
-    for r in rows:
-        ids = [code[w] for w in r["words"].split(" ")]
-        by_len.setdefault(len(ids), []).append((ids, list(r["items"])))
+    for words, names in items.items():
+        ids = [code[w] for w in words.split(" ")]
+        by_len.setdefault(len(ids), []).append((ids, names))
     tables = {}
     salt = mix64(np.arange(1, len(vocab) + 1, dtype=np.uint64))
     for size, entries in by_len.items():
         ids = np.array([e[0] for e in entries], np.int32)
-        hashes = np.array([rolling_hash(salt[row], size)[0] for row in ids], np.uint64)
+        hashes = rolling_hash(salt[ids].ravel(), size)[::size]
         order = np.argsort(hashes, kind="stable")
         tables[size] = (hashes[order], ids[order], [entries[i][1] for i in order])
     return {"vocab": pa.array(vocab, pa.string()), "salt": salt, "tables": tables}
 
 
 def _blocks(spark: SparkSession, windows: DataFrame) -> list:
-    """The windows as broadcast blocks, gathered one bounded block at a time."""
+    """The windows as broadcast blocks, gathered one bounded block at a time; they are computed once."""
+    windows = checkpointed(windows)
     n = windows.count()
     if n == 0:
         return []
     parts = -(-n // BLOCK_WINDOWS)
-    out = []
-    for k in range(parts):
-        own = windows if parts == 1 else windows.where(F.pmod(F.xxhash64("words"), F.lit(parts)) == k)
-        out.append(spark.sparkContext.broadcast(_block(own.collect())))
-    return out
+    dealt = windows.withColumn("block", F.pmod(F.xxhash64("words", "item"), F.lit(parts)))
+    path = f"{shared_folder(spark)}/windows"
+    dealt.repartition(parts, "block").write.partitionBy("block").parquet(path)
+    stored = spark.read.schema("words string, item string, block long").parquet(path)
+    gathered = (stored.where(F.col("block") == k).select("words", "item").collect() for k in range(parts))
+    return [spark.sparkContext.broadcast(_block(rows)) for rows in gathered if rows]
 
 
 def _hits(words: Words, block: dict) -> tuple[np.ndarray, dict[int, set]]:
@@ -122,9 +127,9 @@ def scan_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
     A word inside any occurring window is hit; a document is contaminated if
     n_hit > 0 and 20 * n_hit >= n_words.  clean_text is the text without the
     hit spans (from a run's first hit word to its last).  Null or blank texts
-    have no words and no hits, null items none to match, and rows with equal
-    ids are judged each by itself.  An input column named like a result gives
-    way to it.
+    have no words and no hits, null items none to match; an item without an id
+    is hit like any other and isn't named.  Rows with equal ids are judged each
+    by itself.  An input column named like a result gives way to it.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -140,7 +145,7 @@ def scan_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
             for d, names in found.items():
                 items.setdefault(d, set()).update(names)
             if len(blocks) > 1:
-                b.__dict__.pop("_value", None)  # the next block takes its place
+                b.__dict__.pop("_value", None)  # the next block takes its place in memory
         sums = np.concatenate([[0], np.cumsum(hit)])
         n_hit = sums[words.offs[1:]] - sums[words.offs[:-1]]
         n_words = words.counts
@@ -164,7 +169,7 @@ def scan_contamination(docs: DataFrame, benchmark: DataFrame, *, text: str = "te
     fields = [T.StructField("n_words", T.LongType()), T.StructField("n_hit", T.LongType()), T.StructField("items", T.ArrayType(T.StringType())), T.StructField("contaminated", T.BooleanType())]
     if cleaned:
         fields.append(T.StructField("clean_text", T.StringType()))
-    return map_text(docs, scan, fields, text, keep)
+    return map_text(docs, scan, fields, text, keep, CHUNK_BYTES * max(1, min(len(blocks), MOST_CHUNKS)))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, remove: str = "documents", text: str = "text", **options) -> DataFrame:
@@ -210,7 +215,7 @@ dw AS (
   FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d, sizes WHERE len(w) >= size)),
 hits AS (SELECT doc_id, i, size, item_id FROM dw JOIN bw USING (size, win)),
 words_hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
-items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated

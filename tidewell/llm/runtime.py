@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,18 +35,18 @@ def give_back() -> None:
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (tests on one machine) is a folder of our own used.
-    """
+    """Materialise ``df`` in the session's shared checkpoint folder and cut its lineage."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(where or os.path.join(tempfile.gettempdir(), "tidewell_checkpoints"))
+        sc.setCheckpointDir(base.shared_root(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and all executors see."""
+    return f"{base.shared_root(spark)}/{uuid.uuid4().hex}"
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
