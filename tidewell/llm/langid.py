@@ -3,9 +3,9 @@
 Each language has a model of byte trigrams within words.  A document is a
 mixture: each of its words comes from some language, with proportions that
 expectation-maximisation estimates.  The languages enter in the order of their
-proportions, and the set whose penalised likelihood (BIC) is best explains the
-document; the prediction is the set's largest language, its score the share of
-the document that is in it.
+proportions, for as long as the penalised likelihood (BIC) of the set gains;
+the prediction is the set's largest language, its score the share of the
+document that is in it.  Every language value of the training rows is learned.
 
 The models are fitted on about ``TRAIN_DOCS`` documents of each language,
 chosen by a hash of doc_id, whose whole texts count.
@@ -23,12 +23,12 @@ from pyspark.sql import types as T
 from .runtime import read, ship
 from .textkernel import Words, _table, map_text, ranges, string_buffers
 
-#: Labelled documents of a language that its model is fitted on, about; most languages learned, those of most documents.
-TRAIN_DOCS, LEARNED = 1500, 200
+#: Labelled documents of a language that its model is fitted on, about.
+TRAIN_DOCS = 1500
 #: Places of the hashed trigram tables, the count added to each, rounds of EM for a set.
 SLOTS, ADDED, ROUNDS = 1 << 16, 0.1, 6
-#: Most languages in a document's set.
-MOST_LANGUAGES = 4
+#: Likelihoods held at once: of words by languages.
+CELLS = 1 << 24
 #: Words are runs of a-z (A-Z lower-cased) and everything beyond ASCII.
 LETTERS = _table(lambda b: 65 <= b <= 90 or 97 <= b <= 122 or b >= 128, True)
 UNDETERMINED = "und"
@@ -67,50 +67,83 @@ class Model:
         langs, n = len(self.langs), words.n_docs
         count = words.counts
         shares = np.zeros((n, langs))
-        some = np.flatnonzero(count > 0)
-        if not len(some) or not langs:
+        active = np.flatnonzero(count > 0)
+        if not len(active) or not langs:
             return shares, count > 0
-        logs = self.word_logs(words.uniq)
-        top = logs.max(axis=1, keepdims=True)
-        like = np.exp(np.maximum(logs - top, -30)).astype(np.float32)[words.codes]
-        starts, sizes = words.offs[:-1][some], count[some]
-        doc = np.repeat(np.arange(len(some)), sizes)
-
-        def em(pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-            for _ in range(rounds):
-                part = pi[doc] * like
-                part /= part.sum(axis=1, keepdims=True)
-                pi = np.add.reduceat(part, starts, axis=0) / sizes[:, None].astype(np.float32)
-                pi = np.maximum(pi, 1e-30, where=pi > 0, out=pi)
-            fit = np.add.reduceat(np.log((pi[doc] * like).sum(axis=1) + 1e-30).astype(np.float64), starts)
-            return pi, fit
-
-        full, _ = em(np.full((len(some), langs), 1 / langs, np.float32), ROUNDS)
+        likely = _Likelihoods(self, words)
+        full, _ = likely.em(active, np.full((len(active), langs), 1 / langs, np.float32), ROUNDS)
         rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1, kind="stable")
-        best = np.full(len(some), np.inf)
-        chosen = np.zeros((len(some), langs), np.float32)
-        for size in range(1, min(langs, MOST_LANGUAGES) + 1):
-            inside = rank < size
-            start = np.where(inside, full + np.float32(1e-3), np.float32(0))
+        best = np.full(len(active), np.inf)
+        for size in range(1, langs + 1):
+            start = np.where(rank < size, full + np.float32(1e-3), np.float32(0))
             start /= start.sum(axis=1, keepdims=True)
-            pi, fit = em(start, ROUNDS if size > 1 else 0)
-            penalised = -2 * fit + (size - 1) * np.log(np.maximum(sizes, 2)) * 2
-            better = penalised < best - 1e-9
-            best = np.where(better, penalised, best)
-            chosen[better] = pi[better]
-        shares[some] = chosen
+            pi, fit = likely.em(active, start, ROUNDS if size > 1 else 0)
+            penalised = -2 * fit + (size - 1) * np.log(np.maximum(count[active], 2)) * 2
+            gains = penalised < best - 1e-9
+            shares[active[gains]] = pi[gains]
+            # Who gains by a language may gain by another one.
+            active, full, rank, best = active[gains], full[gains], rank[gains], penalised[gains]
+            if not len(active):
+                break
         return shares, count > 0
 
 
+class _Likelihoods:
+    """Likelihoods of a chunk's words by language, at most ``CELLS`` of them at a time."""
+
+    def __init__(self, model: Model, words: Words):
+        self.model, self.words = model, words
+        self.step = max(1, CELLS // len(model.langs))
+        self.known = self._of(words.uniq) if len(words.uniq) <= self.step else None
+
+    def _of(self, words: pa.Array) -> np.ndarray:
+        logs = self.model.word_logs(words)
+        return np.exp(np.maximum(logs - logs.max(axis=1, keepdims=True), -30)).astype(np.float32)
+
+    def _slices(self, docs: np.ndarray):
+        """(first document, cuts between documents, likelihoods) of runs of the documents' words."""
+        sizes = self.words.counts[docs]
+        at = ranges(self.words.offs[:-1][docs], sizes)
+        owner = np.repeat(np.arange(len(docs)), sizes)
+        for a in range(0, len(at), self.step):
+            codes, own = self.words.codes[at[a : a + self.step]], owner[a : a + self.step]
+            if self.known is not None:
+                like = self.known[codes]
+            else:
+                distinct, place = np.unique(codes, return_inverse=True)
+                like = self._of(self.words.uniq.take(pa.array(distinct)))[place]
+            yield own, np.flatnonzero(np.diff(own, prepend=-1)), like
+
+    def em(self, docs: np.ndarray, pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        """(proportions after some rounds, log-likelihoods) of the documents, from the proportions ``pi``."""
+        sizes = self.words.counts[docs][:, None].astype(np.float32)
+        for _ in range(rounds):
+            new = np.zeros_like(pi)
+            for own, cuts, like in self._slices(docs):
+                part = pi[own] * like
+                part /= part.sum(axis=1, keepdims=True)
+                new[own[cuts]] += np.add.reduceat(part, cuts, axis=0)
+            pi = np.where(pi > 0, np.maximum(new / sizes, np.float32(1e-30)), np.float32(0))
+        fit = np.zeros(len(docs))
+        for own, cuts, like in self._slices(docs):
+            fit[own[cuts]] += np.add.reduceat(np.log((pi[own] * like).sum(axis=1) + 1e-30).astype(np.float64), cuts)
+        return pi, fit
+
+
 def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", training=None, train_docs: int = TRAIN_DOCS) -> Model:
-    """Learns from the rows with a language; ``training`` is a condition on column id that limits them."""
+    """Learns every language of the rows that have one; ``training`` is a condition on column id that limits them.
+
+    Null and blank texts add nothing, and a language with no other text isn't
+    learned.  Repeated rows count each time.  Without any row nothing is
+    learned.  The model has SLOTS numbers for each language value.
+    """
     ship(docs.sparkSession)
     own = docs.select(docs[doc_id].alias("id"), docs[lang].cast("string").alias("lang"), docs[text].cast("string").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
     if training is not None:
         own = own.where(training)
-    sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LEARNED)
-    share = F.broadcast(sizes.select("lang", F.least(F.lit(1.0), train_docs / F.col("n")).alias("share")))
-    sample = own.join(share, "lang").where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
+    sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = sizes.select("lang", F.least(F.lit(1.0), train_docs / F.col("n")).alias("share"))
+    sample = own.select("id", "lang", "text").join(share, "lang").where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
 
     def count(batches):
         for batch in batches:
