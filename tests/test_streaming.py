@@ -64,15 +64,100 @@ def test_firehose_reader(tmp_path):
     path.open("a").write(json.dumps(changed("did", "")) + "\n")
     reader = firehose.FirehoseReader({"url": f"ws://local?file={path}"})
     rows, at = reader.read(reader.initialOffset())
-    assert [r[2] for r in rows] == [10, 20] and at == {"time_us": 20} and reader.bad == 1
-    docs(path, [15, 30])  # an old event doesn't take the position back
+    assert [r[2] for r in rows] == [10, 20] and at == {"time_us": 20, "events": 2} and reader.bad == 1
+    docs(path, [15])  # an old event is handed on and doesn't take the position back
     rows, later = reader.read(at)
-    assert [r[2] for r in rows] == [30] and later == {"time_us": 30}
-    assert [r[2] for r in reader.readBetweenOffsets(at, later)] == [30]
-    assert list(reader.read(later)[0]) == []
+    assert [r[2] for r in rows] == [15] and later == {"time_us": 20, "events": 3}
+    with path.open("a") as f:  # another event of a time that was seen
+        f.write(json.dumps(document(text="other") | {"time_us": 20}) + "\n")
+    docs(path, [30])
+    rows, last = reader.read(later)
+    assert [r[2] for r in rows] == [20, 30] and last == {"time_us": 30, "events": 5}
+    assert list(reader.read(last)[0]) == [] and reader.read(last)[1] == last
+    assert {r[2] for r in reader.readBetweenOffsets(later, last)} >= {20, 30}
+    again = firehose.FirehoseReader({"url": f"ws://local?file={path}"})
+    assert len(list(again.read(last)[0])) == 5  # the overlap once more after a restart
     assert [firehose.backoff(n, lambda: 0) for n in (0, 1, 5, 6, 9)] == [1, 2, 32, 60, 60]
 
 
+def test_firehose_passes_no_event_over_where_batches_are_cut(tmp_path):
+    path = tmp_path / "feed.jsonl"
+    times = [5, 9, 9, 9, 3, 9, 12, 1, 12]
+    with path.open("w") as f:
+        for i, t in enumerate(times):
+            f.write(json.dumps(document(text=f"t{i}") | {"time_us": t}) + "\n")
+    reader, seen, at = firehose.FirehoseReader({"url": f"ws://local?file={path}", "maxEvents": "2"}), [], {"time_us": 0, "events": 0}
+    for _ in range(6):
+        rows, at = reader.read(at)
+        seen += [r[2] for r in rows]
+    assert sorted(seen) == sorted(times) and at == {"time_us": 12, "events": 9}
+
+
+class Server:
+    """A WebSocket server that plays scripts, one for each connection: bytes to send, then the end."""
+
+    def __init__(self, *scripts):
+        import socket
+        import threading
+
+        self.listening, self.asked, self.got = socket.create_server(("127.0.0.1", 0)), [], []
+        self.url = f"ws://127.0.0.1:{self.listening.getsockname()[1]}/subscribe"
+        threading.Thread(target=self._serve, args=(scripts,), daemon=True).start()
+
+    def _serve(self, scripts):
+        import base64
+        import hashlib
+
+        for script in scripts:
+            peer, _ = self.listening.accept()
+            head = b""
+            while b"\r\n\r\n" not in head:
+                head += peer.recv(4096)
+            self.asked.append(head.split(b" ")[1].decode())
+            key = next(x.split(b": ")[1] for x in head.split(b"\r\n") if x.lower().startswith(b"sec-websocket-key"))
+            accept = base64.b64encode(hashlib.sha1(key + b"258EAFA5-E914-47DA-95CA-C5AB0DC85B11").digest())
+            peer.sendall(b"HTTP/1.1 101 Switching Protocols\r\nUpgrade: websocket\r\nConnection: Upgrade\r\nSec-WebSocket-Accept: " + accept + b"\r\n\r\n" + script)
+            if script.startswith(b"\x89"):
+                self.got.append(peer.recv(64))
+            peer.close()
+        self.listening.close()
+
+
+def frame(body, kind=1, last=True):
+    head = bytes([(0x80 if last else 0) | kind])
+    size = bytes([len(body)]) if len(body) < 126 else b"\x7e" + len(body).to_bytes(2, "big")
+    return head + size + body
+
+
+def test_live_firehose_connects_again_and_passes_no_event_over(monkeypatch):
+    event = lambda t, text="x": json.dumps(document(text=text) | {"time_us": t}).encode()
+    long = event(3_000_000_000, "y" * 300)
+    server = Server(
+        frame(b"hi", 9) + frame(event(9_000_000_000)) + frame(b"not json") + frame(long[:100], 1, False) + frame(long[100:], 0),
+        frame(event(9_000_000_000)) + frame(event(9_000_000_000, "same time")) + frame(b"", 8),
+        frame(event(8_999_999_999, "late")) + frame(event(9_500_000_000)),
+    )
+    pauses = []
+    monkeypatch.setattr(firehose.FirehoseReader, "connect", staticmethod(lambda url, at, seconds: firehose.connected(url, at, most_seconds=20, most_failures=0 if len(server.asked) == 3 else 8, sleep=pauses.append)))
+    reader = firehose.FirehoseReader({"url": server.url, "maxEvents": "5"})
+    rows, at = reader.read({"time_us": 9_000_000_000, "events": 0})
+    assert [r[2] for r in rows] == [9_000_000_000, 3_000_000_000, 9_000_000_000, 8_999_999_999, 9_500_000_000]
+    assert at == {"time_us": 9_500_000_000, "events": 5} and len(pauses) == 2 and 1 <= pauses[0] <= 1.5
+    assert server.asked[0] == "/subscribe?wantedCollections=post&cursor=8995000000"
+    assert server.got[0][:2] == b"\x8a\x82"  # a masked pong of two bytes
+
+
+def test_firehose_gives_up_after_many_failures():
+    import socket
+
+    import pytest
+
+    with socket.create_server(("127.0.0.1", 0)) as closed:
+        url = f"ws://127.0.0.1:{closed.getsockname()[1]}/"
+    with pytest.raises(OSError):
+        list(firehose.connected(url, None, most_failures=2, sleep=lambda s: None))
+
+
 def test_firehose_as_a_stream(spark, tmp_path):
     path = tmp_path / "feed.jsonl"
     docs(path, [10, 20, 30])

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..runtime import ship
 from ..schemas import PAYLOAD
 
 
@@ -107,6 +110,23 @@ def posts(raw: DataFrame, *, raw_json: str = "raw_json", collection: str = "post
 
 
 def messages(raw: DataFrame, *, raw_json: str = "raw_json", collection: str = "post") -> DataFrame:
-    """(key, value) for a log sink."""
-    doc = raw.select(F.col(raw_json).alias("value"), F.from_json(raw_json, PAYLOAD).alias("d")).where(_valid(F.col("d"), collection))
-    return doc.select(X.entity_uri(F.col("d.did"), F.col("d.commit.collection"), F.col("d.commit.rkey")).alias("key"), "value")
+    """(key, value) for a log sink: what ``prepare_message`` makes of each document, compactly written; others are left out.
+
+    Python writes the value in Arrow batches, as Spark's JSON functions would
+    order, escape and round otherwise than the scalar path.
+    """
+    ship(raw.sparkSession)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [m for m in map(read, batch.column(0).to_pylist()) if m is not None]
+            yield pa.RecordBatch.from_arrays([pa.array([m.key for m in found], pa.string()), pa.array([m.value.decode() for m in found], pa.string())], names=["key", "value"])
+
+    def read(text: str | None) -> Message | None:
+        try:
+            document = json.loads(text or "")
+            return prepare_message(document, collection) if isinstance(document, dict) else None
+        except (ValueError, RecursionError):
+            return None
+
+    return raw.select(raw_json).mapInArrow(write, "key string, value string")

@@ -1,23 +1,31 @@
 """A firehose of source documents as a Python data source, ``format("tidewell_firehose")``.
 
-Offsets are positions in source time.  After a restart the reader goes back by
-an overlap, so nothing is missed; sinks that insert new keys alone make the
-overlap harmless.  The connection itself is a function from (url, position) to
-documents, so a recorded file serves as well as a socket.
+The reader hands on every valid event, whatever its time.  Its position, the
+latest source time seen, only moves forward; each connection begins an overlap
+before it, so nothing is missed, and what a reader has handed on within the
+overlap it doesn't hand on again.  After a restart the overlap comes twice,
+which sinks that insert new keys alone make harmless.  The connection itself is
+a function from (url, position) to documents, so a recorded file serves as well
+as a socket.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
+import logging
 import random
+import time
 from collections.abc import Callable, Iterator
 from urllib.parse import parse_qs, urlsplit
 
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
-from ..sources.cursor import subscription_url
+from ..sources.cursor import stale, subscription_url
 from ..sources.posts import prepare_message
+from ..sources.websocket import WebSocket
 
+log = logging.getLogger(__name__)
 SCHEMA = "key string, value string, time_us bigint, operation string"
 
 
@@ -31,32 +39,34 @@ def recorded(url: str, position: int | None) -> Iterator[dict]:
                 yield document
 
 
-def connected(url: str, position: int | None, *, silence: float = 90, largest: int = 2 << 20, most_seconds: float = 30) -> Iterator[dict]:
-    """Documents of a live socket, for a while; needs the websockets package.
+def connected(url: str, position: int | None, *, silence: float = 90, largest: int = 2 << 20, most_seconds: float = 10, most_failures: int = 8, sleep: Callable[[float], None] = time.sleep) -> Iterator[dict]:
+    """Documents of a live socket, for a while; the position is in the address.
 
-    The position is in the address.  A silent or broken connection ends the
-    read; the next one goes on from the last position, after a pause that
-    ``backoff`` tells to callers that connect in a loop.
+    A silent or broken connection is made anew after a pause; who reads on gets
+    repeats from the position on.  After too many failures in a row the last
+    one is raised.
     """
-    import time
-
-    try:
-        from websockets.exceptions import WebSocketException
-        from websockets.sync.client import connect
-    except ImportError as e:
-        raise RuntimeError("live firehoses need the websockets package") from e
-    end = time.monotonic() + most_seconds
-    try:
-        with connect(url, max_size=largest, ping_interval=20) as socket:
-            while (left := end - time.monotonic()) > 0:
-                try:
-                    document = json.loads(socket.recv(timeout=min(silence, left)))
-                except ValueError:
-                    continue
-                if isinstance(document, dict):
-                    yield document
-    except (TimeoutError, OSError, WebSocketException):
-        return
+    end, failures = time.monotonic() + most_seconds, 0
+    while time.monotonic() < end:
+        try:
+            with WebSocket(url, timeout=min(10.0, silence), largest=largest) as socket:
+                for message in socket.messages(silence, end):
+                    failures = 0
+                    try:
+                        document = json.loads(message)
+                    except ValueError:
+                        continue
+                    if isinstance(document, dict):
+                        yield document
+            if time.monotonic() < end:
+                raise ConnectionError("the server closed the connection")
+        except OSError as e:
+            failures += 1
+            if failures > most_failures:
+                raise
+            pause = backoff(failures - 1)
+            log.warning("firehose connection failed %s times, next in %.1f s: %s", failures, pause, e)
+            sleep(max(0.0, min(pause, end - time.monotonic())))
 
 
 def backoff(failures: int, jitter: Callable[[], float] = random.random) -> float:
@@ -64,47 +74,63 @@ def backoff(failures: int, jitter: Callable[[], float] = random.random) -> float
     return min(60.0, 2.0 ** min(failures, 6)) + 0.5 * jitter()
 
 
+def connection(url: str, position: int | None, seconds: float = 10) -> Iterator[dict]:
+    """A recorded file where the address names one, else the live socket."""
+    if "file" in parse_qs(urlsplit(url).query):
+        return recorded(url, position)
+    return connected(url, position, most_seconds=seconds)
+
+
 class FirehoseReader(SimpleDataSourceStreamReader):
-    connect: Callable[[str, int | None], Iterator[dict]] = staticmethod(recorded)
+    connect: Callable[..., Iterator[dict]] = staticmethod(connection)
 
     def __init__(self, options: dict):
         self.base = options["url"]
         self.collection = options.get("collection", "post")
         self.overlap = int(options.get("overlapSeconds", 5))
         self.most = int(options.get("maxEvents", 10_000))
+        self.seconds = float(options.get("connectionSeconds", 10))
         self.bad = 0
+        self.handed: dict[bytes, int] = {}  # of the overlap before the position
 
     def initialOffset(self) -> dict:
-        return {"time_us": 0}
-
-    def _documents(self, start: int, rewind: bool) -> Iterator[tuple]:
-        cursor = start or None
-        url = subscription_url(self.base, self.collection, cursor, self.overlap if rewind else 0)
-        position = parse_qs(urlsplit(url).query).get("cursor")
-        for document in type(self).connect(url, int(position[0]) if position else None):
+        return {"time_us": 0, "events": 0}
+
+    def _documents(self, position: int) -> Iterator[tuple]:
+        cursor = position or None
+        if cursor and stale(cursor):
+            log.warning("the firehose may no longer hold what came since %s", cursor)
+        url = subscription_url(self.base, self.collection, cursor, self.overlap)
+        start = parse_qs(urlsplit(url).query).get("cursor")
+        for document in type(self).connect(url, int(start[0]) if start else None, self.seconds):
             try:
                 message = prepare_message(document, self.collection)
-            except ValueError:
+            except ValueError as e:
                 self.bad += 1
+                log.warning("a broken document, the %sth: %s", self.bad, e)
                 continue
             if message is not None:
                 yield (message.key, message.value.decode(), message.time_us, message.operation)
 
     def read(self, start: dict):
-        """What has come since ``start``; the position never goes back."""
+        """What has come and wasn't handed on; the position never goes back."""
         rows, last = [], start["time_us"]
-        for row in self._documents(start["time_us"], False):
-            if row[2] <= start["time_us"]:
+        for row in self._documents(start["time_us"]):
+            digest = hashlib.sha256(f"{row[2]} {row[0]} {row[1]}".encode()).digest()
+            if digest in self.handed:
                 continue
-            if len(rows) >= self.most and row[2] > last:
-                break
+            self.handed[digest] = row[2]
             rows.append(row)
             last = max(last, row[2])
-        return iter(rows), {"time_us": last}
+            if len(rows) >= self.most:
+                break
+        floor = last - self.overlap * 1_000_000
+        self.handed = {k: t for k, t in self.handed.items() if t >= floor}
+        return iter(rows), {"time_us": last, "events": start["events"] + len(rows)}
 
     def readBetweenOffsets(self, start: dict, end: dict):
-        """The same events again after a failure."""
-        return (r for r in self._documents(start["time_us"], True) if start["time_us"] < r[2] <= end["time_us"])
+        """The same events again after a failure, and the overlap before them."""
+        return (r for r in self._documents(start["time_us"]) if r[2] <= end["time_us"])
 
 
 class Firehose(DataSource):

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import exprs as X
 from ..plans.store import Table
+from ..runtime import ship
 from ..schemas import LANDING, PAYLOAD
 from ..sources.landing import Landing
 
@@ -68,24 +70,29 @@ def upsert_into(table: Table, key: list[str]) -> Callable[[DataFrame, int], None
     return each
 
 
-def land(landing: Landing, batch_size: int = 200) -> Callable[[DataFrame, int], None]:
-    """A micro-batch sink that writes landing batches, one log partition at a time.
+def write_batches(rows: DataFrame, landing: Landing, batch_size: int = 200) -> int:
+    """Writes rows as landing batches, by the executors; returns how many.
 
-    Rows come to the driver in offset order, a bounded batch at a time: the
-    landing folders are a disk of the driver's, as a log consumer's would be.
+    A batch is of the offsets of one log partition between two multiples of
+    ``batch_size``, so the same rows make the same batches again, whichever
+    executor writes them.  ``landing`` is a folder that executors share.
     """
+    ship(rows.sparkSession)
+
+    def write(table: pa.Table) -> pa.Table:
+        folder, _ = landing.write(table.sort_by("log_offset").to_pylist())
+        return pa.table({"batch_id": [folder.name]})
+
+    own = rows.select(*LANDING.names, F.floor(F.col("log_offset") / batch_size).alias("range"))
+    keyed = own.groupBy("log_topic", "log_partition", "range").applyInArrow(lambda table: write(table.select(LANDING.names)), "batch_id string")
+    return keyed.count()
+
+
+def land(landing: Landing, batch_size: int = 200) -> Callable[[DataFrame, int], None]:
+    """A micro-batch sink that writes landing batches; a micro-batch given again finds its batches there."""
 
     def each(rows: DataFrame, _: int) -> None:
-        held: list[dict] = []
-        ordered = rows.orderBy("log_topic", "log_partition", "log_offset")
-        for row in ordered.toLocalIterator():
-            place = (row["log_topic"], row["log_partition"])
-            if held and (len(held) >= batch_size or place != (held[0]["log_topic"], held[0]["log_partition"])):
-                landing.write(held)
-                held = []
-            held.append(row.asDict())
-        if held:
-            landing.write(held)
+        write_batches(rows, landing, batch_size)
 
     return each
 
