@@ -11,6 +11,8 @@ TIME_END_US = 253_402_300_800_000_000
 WINDOW = "5 minutes"
 #: Observations beyond these count as very late, or as dated in the future; both strict.
 VERY_LATE_SECONDS, FUTURE_SECONDS = 600, 300
+VERY_LATE = f"{VERY_LATE_SECONDS} seconds"
+ARRIVAL_FLAGS = ["is_late", "is_very_late", "is_future_dated", "is_ingestion_unknown"]
 EVENT_TYPES = {"create": "content_created", "update": "content_updated", "delete": "content_deleted"}
 EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
 
@@ -66,6 +68,14 @@ def delay_seconds(event: str = "event_time", ingested: str = "ingested_at") -> C
     return F.expr(_seconds(event, ingested)).cast("double")
 
 
+def frontier(latest: Column, lag: str = VERY_LATE) -> Column:
+    """The latest event time less the allowed lateness, a phrase such as "10 minutes" that isn't negative."""
+    count, unit = lag.split()
+    if int(count) < 0:
+        raise ValueError("allowed lateness can't be negative")
+    return latest - F.expr(f"interval '{int(count)}' {unit.rstrip('s')}")
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, 0 where it doesn't or is unknown."""
     return F.when(condition, 1).otherwise(0)
