@@ -12,13 +12,7 @@ def test_query_agrees_with_sql(name, spark, tiny):
 
 
 def test_every_query_has_sql_or_is_stateful():
-    assert set(registry.queries()) - set(SQL) == {"watermark_windows"}
-
-
-def test_watermark_windows_emit_only_what_closed(spark, tiny):
-    found = registry.queries()["watermark_windows"](spark, tiny).toPandas()
-    assert len(found) and (found.window_end <= found.window_end.max()).all()
-    assert not found.window_start.duplicated().any()
+    assert set(registry.queries()) == set(SQL)
 
 
 def test_totals_of_the_fixture(spark, tiny):

@@ -9,7 +9,7 @@ from ..functions import exprs as X
 from ..operators import checks, merge, native, reliable, windows
 from ..schemas import MEASURES, WINDOW_KEY
 from ..sources import eventlog
-from . import catalog
+from . import catalog, landed
 
 SOURCE = eventlog.SOURCE
 
@@ -112,13 +112,6 @@ def _merge_snapshot(spark, d):
     return merge.full_snapshot(_stale(new), new, SOURCE)
 
 
-def _pending(spark, d):
-    """Batches that the log hasn't, in order, at most twenty."""
-    all_ = _raw(spark, d).select("batch_id").distinct()
-    done = _batches(spark, d).where("record_count % 2 = 0").select("batch_id")
-    return all_.join(done, "batch_id", "left_anti").orderBy("batch_id").limit(20)
-
-
 def _arrivals(spark, d):
     posts = windows.with_arrival(windows.created_posts(_simple(spark, d), SOURCE))
     return posts.select("event_id", "window_start", "window_end", "delay_seconds", "is_late", "is_very_late", "is_future_dated", "is_ingestion_unknown", "is_out_of_order")
@@ -126,8 +119,8 @@ def _arrivals(spark, d):
 
 def _frontier(spark, d):
     """By log partition: the latest event time seen, less the allowed ten minutes."""
-    latest = F.max("ts")
-    return eventlog.read_events(spark, d).groupBy((F.col("user_id") % 3).cast("int").alias("log_partition")).agg((latest - F.expr("interval '10' minute")).alias("frontier"))
+    events = eventlog.read_events(spark, d).withColumn("log_partition", (F.col("user_id") % 3).cast("int"))
+    return windows.frontiers(events, "log_partition", time="ts")
 
 
 def _watermarked(spark, d):
@@ -179,10 +172,10 @@ def queries() -> dict:
         "merge_insert_only_1key": _merge_one_key,
         "merge_insert_only_3key": _merge_three_keys,
         "merge_full_snapshot": _merge_snapshot,
-        "pending_batches": _pending,
         "arrival_classification": _arrivals,
         "watermark_frontier": _frontier,
         "watermark_windows": _watermarked,
+        **landed.queries(),
     }
 
 
@@ -327,8 +320,10 @@ def oracle_sql() -> dict[str, str]:
               UNION ALL SELECT 'other', window_start, window_end, {measures} FROM gold WHERE {seventh} = 2)) o
           FULL JOIN (SELECT *, TIMESTAMP '2021-01-01' AS aggregate_updated_at FROM gold) n ON o.source = n.source AND o.window_start = n.window_start AND o.window_end = n.window_end
           WHERE NOT (n.source IS NULL AND o.source = 'events')""",
-        "pending_batches": "SELECT batch_id FROM batches WHERE record_count % 2 <> 0 ORDER BY batch_id LIMIT 20",
         "arrival_classification": "SELECT event_id, window_start, window_end, CAST(delay AS DOUBLE) AS delay_seconds, is_late, is_very_late, is_future_dated, is_ingestion_unknown, is_out_of_order FROM arrivals",
+        "watermark_windows": "SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, post_count FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ts, TIMESTAMP '1970-01-01') AS window_start, count(*) AS post_count, max(max(ts)) OVER () AS latest "
+        "FROM events WHERE event_type IN ('view', 'click') GROUP BY 1) WHERE window_start + INTERVAL 5 MINUTE <= latest - INTERVAL 10 MINUTE",
+        **landed.oracle_sql(),
         "watermark_frontier": "SELECT log_partition, max(ts) - INTERVAL 10 MINUTE AS frontier FROM timed GROUP BY log_partition",
     }
     out = {name: _LOG + sql for name, sql in body.items()}
