@@ -1,24 +1,25 @@
 """LM scoring by cross-entropy difference.
 
-Two interpolated bigram models, of the target documents and of the whole
-corpus as background, share one vocabulary and one set of bigrams: every word
-and every bigram of the corpus.  A document's score is the mean over its
+Two bigram models, of the target documents and of the whole corpus as
+background, share one vocabulary, every word of the corpus, and hold every
+bigram of it.  They are matched: background counts are scaled to the target's
+number of tokens, so both models rest on as much text and are smoothed alike,
+and no loss is higher for want of data alone.  Words are smoothed by
+``WORD_BACKED`` counts of the corpus's word shares, bigrams by ``PAIR_BACKED``
+counts of the model's own words.  A document's score is the mean over its
 tokens of target loss less background loss, in nats: low means like the target.
 
-All counts are taken over all documents.  A task sums its own counts first and
-sends each range of keys as one packed, sorted block; ranges are merged one
-by one and stay packed, so the model grows with the corpus and no machine
-holds more than a range of it.  To score, each chunk of documents asks the
-ranges for the counts of its distinct keys and works on their answers.
-
-``fit`` with ``vocabulary`` and ``model_bigrams`` gives a bounded ``Model``
-instead: the most frequent words and one entry for all others, and the bigrams
-of the highest background counts; the others back off to words.
+All counts are taken over all documents.  Each chunk of documents sends its
+distinct keys (words and bigrams) and their counts to hash ranges, as one
+packed, sorted block for each range; a range adds up what it was sent and
+answers every block with the corpus's counts of its keys.  So counting and
+looking up are one exchange, the model grows with the corpus, and no machine
+holds more than a range of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,20 +31,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .runtime import checkpointed, mix64, read, ship, text_bytes
-from .textkernel import ALNUM_LOWER, Words, chunks, doc_sums, map_text
+from .textkernel import ALNUM_LOWER, Words, chunks, doc_sums, string_buffers
 from .toxicity import labelled
 
-#: Share of the bigram model in the interpolation, count added to each word.
-BIGRAM_SHARE, ADDED = 0.6, 1.0
-#: Entries that a task gathers before it sends them.
+#: Counts of the order below that smooth a word's and a bigram's.
+WORD_BACKED, PAIR_BACKED = 100.0, 2.0
+#: Entries that a range gathers before it adds them up.
 HELD = 3_000_000
-#: Text bytes for each range of a whole model's keys.
-RANGE_BYTES = 32 << 20
-#: Low bits of a whole model's keys: a word, a word as history, a bigram.
-WORD, HISTORY, PAIR = np.uint64(0), np.uint64(1), np.uint64(2)
+#: Text bytes of a chunk, and for each range of the keys.
+CHUNK_BYTES, RANGE_BYTES = 6 << 20, 32 << 20
+#: Most target ids that are broadcast; more are joined by a merge of both sides.
+BROADCAST_IDS = 1_000_000
+#: The low bit of a key: a word, a bigram.
+WORD, PAIR = np.uint64(0), np.uint64(1)
 #: What stands before a document's first word.
-START = np.uint64(0x5157A27 << 2)
+START = np.uint64(0x5157A27 << 1)
 KEY_BITS = 63
+#: Counts of a key: in the target and the corpus, and as a document's last word in either.
+COLUMNS = 4
+#: In place of a chunk's number: a range of a model.
+MODEL = -1
+_ROW = "chunk long, part long, blob binary"
 
 
 def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
@@ -70,338 +78,259 @@ def merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[at], np.add.reduceat(counts, at, axis=1)
 
 
-def count_keys(source: DataFrame, find: Callable[[pa.RecordBatch], tuple[np.ndarray, np.ndarray]], columns: int, bits: int, ranges_: int = 0) -> DataFrame:
-    """(key, n0, n1, ...): the summed counts of the uint64 keys, below 2 ** bits, that ``find`` gives for batches.
-
-    With ``ranges_``, that many ranges as they are packed: (part, blob, words, t0, t1), the last three
-    of the keys that are words: how many, and their summed counts.
-    """
-    spark = source.sparkSession
-    ship(spark)
-    packed = ranges_ > 0
-    ranges_ = ranges_ or max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    width = -(-(1 << bits) // ranges_)
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
-        size = 0
-
-        def send():
-            keys, counts = merged(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held], axis=1))
-            part = (keys // np.uint64(width)).astype(np.int64)
-            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
-            rows = [(int(part[a]), pack(keys[a:b], counts[:, a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "blob"])
-
-        for batch in batches:
-            keys, counts = merged(*find(batch))
-            held.append((keys, counts))
-            size += len(keys)
-            if size > HELD:
-                keys, counts = merged(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held], axis=1))
-                held, size = [(keys, counts)], len(keys)
-                if size > HELD // 2:
-                    yield send()
-                    held, size = [], 0
-        if size:
-            yield send()
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, []
+def token_keys(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, word before, bigram) keys of each token; START before a document's first."""
+    # A low bit for the kind, and 63 bits in all.
+    base = (words.uniq_hash() >> np.uint64(1)) & ~np.uint64(1)
+    w = base[words.codes]
+    v = np.empty_like(w)
+    v[1:] = w[:-1]
+    v[words.offs[:-1][words.counts > 0]] = START
+    pair = (mix64(v * np.uint64(0x9E3779B97F4A7C15) + w) >> np.uint64(1)) & ~np.uint64(1)
+    return w | WORD, v, pair | PAIR
 
-        def done():
-            keys, counts = merged(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held], axis=1))
-            if packed:
-                word = (keys & np.uint64(3)) == WORD
-                sums = [now, pack(keys, counts), int(word.sum()), *counts[:, word].sum(axis=1).tolist()]
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in sums], names=["part", "blob", "words", "t0", "t1"])
-                return
-            for a in range(0, len(keys), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[a : a + 200_000].view(np.int64)), *[pa.array(c[a : a + 200_000]) for c in counts]], names=["key", *[f"n{i}" for i in range(columns)]])
 
-        for batch in batches:
-            for part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if now is not None and part != now:
-                    yield from done()
-                    held = []
-                now = part
-                held.append(unpack(blob, columns))
-                if sum(len(k) for k, _ in held) > HELD:  # duplicates of many tasks melt away
-                    held = [merged(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held], axis=1))]
-        if held:
-            yield from done()
+def chunk_counts(words: Words, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys of some documents and their counts; ``target`` tells 1 or 0 for each document."""
+    base = (words.uniq_hash() >> np.uint64(1)) & ~np.uint64(1)
+    of_token, some = np.repeat(target, words.counts), words.counts > 0
+    last, kinds = words.codes[words.offs[1:][some] - 1], len(base)
+    single = np.stack([np.bincount(c, x, kinds).astype(np.int64) for c, x in ((words.codes, of_token), (words.codes, None), (last, target[some]), (last, None))])
+    used = single[1] > 0
+    pairs, n = token_keys(words)[2], np.zeros(len(words), np.int64)
+    both = np.stack([of_token.astype(np.int64), n + 1, n, n])
+    return merged(np.concatenate([base[used] | WORD, pairs]), np.concatenate([single[:, used], both], axis=1))
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sent = source.mapInArrow(gather, "part long, blob binary").repartition(parts, "part").sortWithinPartitions("part")
-    if packed:
-        return sent.mapInArrow(add, "part long, blob binary, words long, t0 long, t1 long")
-    return sent.mapInArrow(add, "key long, " + ", ".join(f"n{i} long" for i in range(columns)))
 
+@dataclass
+class Totals:
+    """Tokens and documents with any, of target and corpus."""
 
-class Model:
-    """Target and background losses over one vocabulary."""
-
-    def __init__(self, vocab: np.ndarray, keys: np.ndarray, pairs: np.ndarray, words: np.ndarray, histories: np.ndarray):
-        """``vocab``: sorted word hashes; ``pairs``, ``words``, ``histories``: counts by model."""
-        self.vocab = vocab
-        size = len(vocab) + 1
-        word = (words + ADDED) / (words.sum(axis=1, keepdims=True) + ADDED * size)
-        v, w = keys // (size + 1), keys % (size + 1)
-        self.keys = keys
-        kept = BIGRAM_SHARE * pairs / np.maximum(histories[:, v], 1)
-        # What a history's bigrams outside the model would hold goes to its words.
-        left = 1.0 - np.stack([np.bincount(v, k, size + 1) for k in kept])
-        self.loss = np.stack([-np.log(left[m][v] * word[m][w] + kept[m]) for m in (0, 1)]) if len(keys) else np.zeros((2, 0))
-        self.left, self.word = np.log(left), np.log(word)
-
-    def ids(self, words: Words) -> np.ndarray:
-        return word_ids(words, self.vocab)
-
-    def losses(self, words: Words) -> np.ndarray:
-        """Summed losses by model and document."""
-        key, w, v = bigram_keys(words, self.vocab)
-        loss = -(self.left[:, v] + self.word[:, w])
-        if len(self.keys):
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            loss = np.where(self.keys[at] == key, self.loss[:, at], loss)
-        return np.stack([doc_sums(x, words.offs) for x in loss])
-
-
-def word_ids(words: Words, vocab: np.ndarray) -> np.ndarray:
-    """Each word's place in the vocabulary; len(vocab) for all others."""
-    if not len(vocab):
-        return np.zeros(len(words), np.int64)
-    hashes = words.uniq_hash()
-    at = np.minimum(np.searchsorted(vocab, hashes), len(vocab) - 1)
-    return np.where(vocab[at] == hashes, at, len(vocab)).astype(np.int64)[words.codes]
-
-
-def bigram_keys(words: Words, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(key, word, history) of each token; a document's first history is len(vocab) + 1."""
-    w = word_ids(words, vocab)
-    v = np.empty(len(w), np.int64)
-    v[1:] = w[:-1]
-    v[words.offs[:-1][words.counts > 0]] = len(vocab) + 1
-    return v * (len(vocab) + 2) + w, w, v
+    tokens: np.ndarray
+    docs: np.ndarray
 
 
 @dataclass
-class Whole:
-    """Counts of every word, history and bigram by model: ``counts`` has rows (part, blob), a row for each range."""
+class Model:
+    """The corpus's counts of every word and bigram, as rows of packed ranges, and their totals."""
 
     counts: DataFrame
     ranges: int
-    tokens: np.ndarray
-    size: int
+    totals: Totals
 
 
-def whole_keys(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, history, bigram) keys of each token."""
-    # Two low bits for the kind, and 63 bits in all.
-    base = (words.uniq_hash() >> np.uint64(1)) & ~np.uint64(3)
-    w = base[words.codes]
-    v = np.empty_like(w)
-    v[1:] = w[:-1]
-    v[words.offs[:-1][words.counts > 0]] = START
-    pair = (mix64(v * np.uint64(0x9E3779B97F4A7C15) + w) >> np.uint64(1)) & ~np.uint64(3)
-    return w | WORD, v | HISTORY, pair | PAIR
+def losses(words: Words, keys: np.ndarray, counts: np.ndarray, totals: Totals) -> np.ndarray:
+    """Summed losses by model and document; ``counts`` (COLUMNS by keys) are those of the documents' sorted distinct keys."""
+    tokens = totals.tokens
+    scale = np.array([[1.0], [tokens[0] / max(tokens[1], 1.0)]])  # background counts, matched to the target's
+    word, before, pair = token_keys(words)
+    at = np.searchsorted(keys, word)
+    n = counts[:2, at]
+    share = np.maximum(n[1], 1) / (tokens[1] + 1.0)  # words that the corpus hasn't count as one
+    of_word = (scale * n + WORD_BACKED * share) / (tokens[0] + WORD_BACKED)
+    first = before == START
+    known = np.minimum(np.searchsorted(keys, before), max(len(keys) - 1, 0))
+    history = np.where(first, totals.docs[:, None], counts[:2, known] - counts[2:, known])
+    of_pair = (scale * counts[:2, np.searchsorted(keys, pair)] + PAIR_BACKED * of_word) / (scale * history + PAIR_BACKED)
+    return np.stack([doc_sums(x, words.offs) for x in -np.log(of_pair)])
 
 
-def _fit_whole(labelled_docs: DataFrame, ranges_: int) -> Whole:
-    def find(batch: pa.RecordBatch):
-        words = Words(batch.column(0), ALNUM_LOWER)
-        is_target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), words.counts)
-        return np.concatenate(whole_keys(words)), np.stack([np.tile(is_target, 3), np.ones(3 * len(words), np.int64)])
+def _texts(blob: bytes) -> tuple[pa.Table, Words]:
+    table = pa.ipc.open_stream(blob).read_all().combine_chunks()
+    return table, Words(table.column("text").chunk(0), ALNUM_LOWER)
 
-    counts = checkpointed(count_keys(labelled_docs, _sliced(find, 2), 2, KEY_BITS, ranges_))
-    sums = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("words", "t0", "t1")]).first()
-    return Whole(counts.select("part", "blob"), ranges_, np.array([sums["t0"], sums["t1"]], float), sums["words"] + 1)
 
+def _store(source: DataFrame) -> DataFrame:
+    """(chunk, blob, sums): the rows in numbered, packed chunks of bounded text, written once.
 
-def _score_whole(docs: DataFrame, model: Whole, text: str, keep: list[str] | None, fields: list[T.StructField]) -> DataFrame:
-    spark = docs.sparkSession
-    ship(spark)
-    ranges_, tokens, size = model.ranges, model.tokens, model.size
-    width = -(-(1 << KEY_BITS) // ranges_)
-    kept = [c for c in (docs.columns if keep is None else keep) if c not in {f.name for f in fields}]
-    source = docs.select(docs[text].cast("string").alias("text"), *[docs[c].alias(f"k{i}") for i, c in enumerate(kept)])
+    What is sent and what is answered must agree on the numbers, so these stay
+    whatever is computed again.  ``sums`` are a chunk's totals.
+    """
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = TaskContext.get().partitionId() << 32
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
+
+        def pack_rows() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            words = Words(table.column("text").chunk(0), ALNUM_LOWER)
+            y, n = table.column("y").to_numpy().astype(np.int64), words.counts
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+                out.write_table(table)
+            sums = [int(x) for x in ((n * y).sum(), n.sum(), ((n > 0) * y).sum(), (n > 0).sum())]
+            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary()), *[pa.array([x], pa.int64()) for x in sums]], names=["chunk", "blob", "t0", "t1", "d0", "d1"])
+
         for batch in batches:
-            for part in chunks(batch, "text"):
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_batch(part)
-                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["chunk", "blob"])
-                n += 1
-
-    def load(blob: bytes) -> tuple[pa.Table, Words]:
-        table = pa.ipc.open_stream(blob).read_all()
-        return table, Words(table.column("text").combine_chunks(), ALNUM_LOWER)
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in chunks(batch, "text", CHUNK_BYTES):
+                offs, _ = string_buffers(part.column("text"))
+                own = int(offs[-1] - offs[0])
+                if held and size + own > CHUNK_BYTES:
+                    yield pack_rows()
+                    number, held, size = number + 1, [], 0
+                held.append(part)
+                size += own
+        if held:
+            yield pack_rows()
+
+    return checkpointed(source.mapInArrow(store, "chunk long, blob binary, t0 long, t1 long, d0 long, d1 long"))
+
+
+def _totals(stored: DataFrame) -> Totals:
+    row = stored.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("t0", "t1", "d0", "d1")]).first()
+    return Totals(np.array([row["t0"], row["t1"]], float), np.array([row["d0"], row["d1"]], float))
+
+
+def _row(chunk: list, part: list, blob: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), pa.array(part, pa.int64()), pa.array(blob, pa.binary())], names=["chunk", "part", "blob"])
+
+
+def _sent(stored: DataFrame, ranges: int, counted: bool) -> DataFrame:
+    """Each chunk's distinct keys by range, with their counts in target and corpus, or with zeros."""
+    width = -(-(1 << KEY_BITS) // ranges)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                keys = np.unique(np.concatenate(whole_keys(load(blob.as_py())[1])))
+                table, words = _texts(blob.as_py())
+                keys, counts = chunk_counts(words, table.column("y").to_numpy().astype(np.int64))
+                if not counted:
+                    counts = np.zeros_like(counts)
                 part = (keys // np.uint64(width)).astype(np.int64)
                 cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
-                rows = [(int(part[a]), pack(keys[a:b], np.zeros((0, b - a), np.int64))) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
-                yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(rows), pa.int64()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], names=["chunk", "part", "blob"])
+                spans = [(a, b) for a, b in zip(cuts[:-1], cuts[1:], strict=True) if b > a]
+                yield _row([chunk] * len(spans), [int(part[a]) for a, _ in spans], [pack(keys[a:b], counts[:, a:b]) for a, b in spans])
+
+    return stored.select("chunk", "blob").mapInArrow(send, _ROW)
+
+
+def _answered(sent: DataFrame, parts: int, modelled: bool = False) -> DataFrame:
+    """What each range says: the summed counts of every block's keys, or of all its keys if ``modelled``.
+
+    Blocks stay packed until their range is complete, and what is added up
+    melts as it grows, so a task holds one range.
+    """
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, keys, counts = None, np.zeros(0, np.uint64), np.zeros((2, 0), np.int64)
+        now, asked, held = None, [], []
+
+        def total():
+            return merged(np.concatenate([k for k, _ in held]), np.concatenate([c for _, c in held], axis=1))
+
+        def done():
+            keys, counts = total()
+            if modelled:
+                yield _row([MODEL], [now], [pack(keys, counts)])
+                return
+            for chunk, blob in asked:
+                own, _ = unpack(blob, COLUMNS)
+                yield _row([chunk], [now], [pack(np.zeros(len(own), np.uint64), counts[:, np.searchsorted(keys, own)])])
+
         for batch in batches:
-            out = []
             for chunk, part, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if chunk < 0:  # a range comes before what is asked of it
-                    at, (keys, counts) = part, unpack(blob.as_py(), 2)
-                    continue
-                asked, _ = unpack(blob.as_py(), 0)
-                found = np.zeros((2, len(asked)), np.int64)
-                if at == part:
-                    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-                    found = np.where(keys[place] == asked, counts[:, place], 0)
-                out.append((chunk, part, pack(np.zeros(len(asked), np.uint64), found)))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()), pa.array([r[2] for r in out], pa.binary())], names=["chunk", "part", "blob"])
-
-    def losses(words: Words, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        count = [counts[:, np.searchsorted(keys, own)] for own in whole_keys(words)]
-        word = (count[0] + ADDED) / (tokens + ADDED * size)[:, None]
-        left = np.where(count[1] > 0, 1.0 - BIGRAM_SHARE, 1.0)
-        loss = -np.log(left * word + BIGRAM_SHARE * count[2] / np.maximum(count[1], 1))
-        return np.stack([doc_sums(x, words.offs) for x in loss])
+                if now is not None and part != now:
+                    yield from done()
+                    asked, held = [], []
+                now, blob = part, blob.as_py()
+                held.append(unpack(blob, COLUMNS))
+                if chunk != MODEL:
+                    asked.append((chunk, blob))
+                if sum(len(k) for k, _ in held) > HELD:
+                    held = [total()]
+        if held:
+            yield from done()
+
+    return sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(answer, _ROW)
+
+
+def _finished(stored: DataFrame, answered: DataFrame, parts: int, totals: Totals, kept: list[T.StructField]) -> DataFrame:
+    fields = [T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in ("target_loss", "background_loss", "score")]]
+    names = [f.name for f in (*kept, *fields)]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, answers = None, []
 
         def done() -> pa.RecordBatch:
-            table, words = load(now)
-            keys = np.unique(np.concatenate(whole_keys(words)))
-            n = words.counts
-            found = np.concatenate([np.zeros((2, 0), np.int64), *answers], axis=1)
-            mean = losses(words, keys, found) / np.maximum(n, 1)
+            table, words = _texts(now)
+            word, _, pair = token_keys(words)
+            keys, n = np.unique(np.concatenate([word, pair])), words.counts
+            counts = np.concatenate([np.zeros((COLUMNS, 0), np.int64), *answers], axis=1)
+            mean = losses(words, keys, counts, totals) / np.maximum(n, 1)
             none = n == 0
             arrays = [table.column(f"k{i}").combine_chunks() for i in range(len(kept))]
             arrays += [pa.array(n, pa.int64()), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[0] - mean[1], mask=none)]
-            return pa.RecordBatch.from_arrays(arrays, names=[*kept, *[f.name for f in fields]])
+            return pa.RecordBatch.from_arrays(arrays, names=names)
 
         for batch in batches:
             for part, blob in zip(batch.column(1).to_pylist(), batch.column(2), strict=True):
-                if part < 0:
+                if part < 0:  # a chunk comes before the answers to it
                     if now is not None:
                         yield done()
                     now, answers = blob.as_py(), []
                 else:
-                    answers.append(unpack(blob.as_py(), 2)[1])
+                    answers.append(unpack(blob.as_py(), COLUMNS)[1])
         if now is not None:
             yield done()
 
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    row = "chunk long, part long, blob binary"
-    # Chunks are numbered once: what is asked and what is answered must agree on them.
-    stored = checkpointed(source.mapInArrow(store, "chunk long, blob binary"))
-    none = F.lit(-1).cast("long")
-    asked = stored.mapInArrow(ask, row).unionByName(model.counts.select(none.alias("chunk"), "part", "blob"))
-    answered = asked.repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(answer, row)
-    both = answered.unionByName(stored.select("chunk", none.alias("part"), "blob"))
-    return both.repartition(parts, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(finish, T.StructType([*[T.StructField(c, docs.schema[c].dataType) for c in kept], *fields]))
-
-
-def fit(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: str = "doc_id", vocabulary: int | None = None, model_bigrams: int | None = None) -> Whole | Model:
-    """The two models; ``target_ids`` has the target documents' ids in column id, once each."""
-    if (vocabulary is None) != (model_bigrams is None):
-        raise ValueError("vocabulary and model_bigrams bound a model together")
-    spark = docs.sparkSession
-    ship(spark)
-    own = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
-    # A merge join at every size: the ids grow with the corpus, so they are never broadcast.
-    labelled_docs = own.join(target_ids.select("id", F.lit(1).alias("y")).hint("merge"), "id", "left").select("text", F.coalesce("y", F.lit(0)).alias("y"))
-    if vocabulary is None:
-        return _fit_whole(labelled_docs, max(64, int(spark.conf.get("spark.sql.shuffle.partitions")), text_bytes(own) // RANGE_BYTES))
-    hash_bits = 63
-
-    def words_of(batch: pa.RecordBatch):
-        words = Words(batch.column(0), ALNUM_LOWER)
-        counts = np.bincount(words.codes, minlength=len(words.uniq))
-        used = counts > 0
-        return (words.uniq_hash() >> np.uint64(1))[used], counts[None, used].astype(np.int64)
-
-    counts = count_keys(own.select("text"), _sliced(words_of, 1), 1, hash_bits)
-    top = counts.orderBy(F.desc("n0"), "key").limit(vocabulary).toArrow()  # bounded by the vocabulary
-    shorts = np.sort(top.column("key").to_numpy().astype(np.uint64))
-    vocab = spark.sparkContext.broadcast(shorts)
-
-    def pairs_of(batch: pa.RecordBatch):
-        words = Words(batch.column(0), ALNUM_LOWER)
-        words._hash = words.uniq_hash() >> np.uint64(1)
-        key, _, _ = bigram_keys(words, vocab.value)
-        is_target = np.repeat(batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64), words.counts)
-        return key.astype(np.uint64), np.stack([is_target, np.ones(len(key), np.int64)])
-
-    size = len(shorts) + 1
-    bits = int((size + 1) ** 2 + 1).bit_length()
-    pairs = checkpointed(count_keys(labelled_docs, _sliced(pairs_of, 2), 2, bits))
-    each = lambda at: pairs.groupBy(at.alias("i")).agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()  # noqa: E731  a row for each word
-    words = _dense(each(F.col("key") % (size + 1)), size)
-    histories = _dense(each(F.floor(F.col("key") / (size + 1)).cast("long")), size + 1)
-    # The least background count whose bigrams fit into the model.
-    tail = pairs.groupBy(F.least(F.col("n1"), F.lit(10_000)).alias("n")).agg(F.count(F.lit(1)).alias("k")).collect()
-    least, kept = 10_001, 0
-    for r in sorted(tail, key=lambda r: -r["n"]):
-        if kept + r["k"] > model_bigrams:
-            break
-        least, kept = r["n"], kept + r["k"]
-    table = pairs.where(F.col("n1") >= least).toArrow()
-    keys = table.column("key").to_numpy()
-    order = np.argsort(keys)
-    return Model(shorts, keys[order], np.stack([table.column(f"n{i}").to_numpy()[order] for i in (0, 1)]).astype(float), words, histories)
-
-
-def _dense(table: pa.Table, size: int) -> np.ndarray:
-    out = np.zeros((2, size))
-    out[:, table.column("i").to_numpy()] = [table.column("n0").to_numpy(), table.column("n1").to_numpy()]
-    return out
-
-
-def _sliced(find: Callable, columns: int) -> Callable:
-    """``find`` over bounded chunks of a batch whose first column is the text."""
-
-    def run(batch: pa.RecordBatch):
-        found = [merged(*find(part)) for part in chunks(batch, "text")]
-        if not found:
-            return np.zeros(0, np.uint64), np.zeros((columns, 0), np.int64)
-        return np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found], axis=1)
-
-    return run
-
-
-def score(docs: DataFrame, model: Whole | Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    both = answered.unionByName(stored.select("chunk", F.lit(-1).cast("long").alias("part"), "blob"))
+    return both.repartition(parts, "chunk").sortWithinPartitions("chunk", "part").mapInArrow(finish, T.StructType([*kept, *fields]))
+
+
+def _scale(docs: DataFrame, text: str) -> tuple[int, int]:
+    """(ranges of the keys, partitions of an exchange), both growing with the text."""
+    own = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(64, own, text_bytes(docs, text) // RANGE_BYTES)
+    return ranges, max(own, ranges // 2)
+
+
+def _marked(docs: DataFrame, target_ids: DataFrame, text: str, doc_id: str, kept: list[str]) -> DataFrame:
+    own = docs.select(docs[text].cast("string").alias("text"), docs[doc_id].alias("id"), *[docs[c].alias(f"k{i}") for i, c in enumerate(kept)])
+    target = target_ids.select("id", F.lit(1).alias("y"))
+    target = F.broadcast(target) if target_ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else target.hint("merge")
+    return own.join(target, "id", "left").withColumn("y", F.coalesce("y", F.lit(0))).drop("id")
+
+
+RESULTS = ("n_tokens", "target_loss", "background_loss", "score")
+
+
+def _kept(docs: DataFrame, keep: list[str] | None) -> list[T.StructField]:
+    return [docs.schema[c] for c in (docs.columns if keep is None else keep) if c not in RESULTS]
+
+
+def fit(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: str = "doc_id") -> Model:
+    """The two models, to score any documents; ``target_ids`` has the target documents' ids in column id, once each.
+
+    Null and blank texts add nothing, repeated rows count each time, rows
+    without an id are background alone.  Without a target, or without
+    documents, both models are the same and every score is 0.
+    """
+    ship(docs.sparkSession)
+    ranges, parts = _scale(docs, text)
+    stored = _store(_marked(docs, target_ids, text, doc_id, []))
+    return Model(checkpointed(_answered(_sent(stored, ranges, True), parts, modelled=True)), ranges, _totals(stored))
+
+
+def score(docs: DataFrame, model: Model, *, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Adds n_tokens, target_loss, background_loss (nats a token) and score, their difference.
 
     Null and blank texts have no tokens and null losses and score.  Input
     columns of these names give way.
     """
-    names = ["target_loss", "background_loss", "score"]
-    fields = [T.StructField("n_tokens", T.LongType()), *[T.StructField(c, T.DoubleType()) for c in names]]
-    if isinstance(model, Whole):
-        return _score_whole(docs, model, text, keep, fields)
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by vocabulary and model_bigrams
+    kept, (_, parts) = _kept(docs, keep), _scale(docs, text)
+    stored = _store(docs.select(docs[text].cast("string").alias("text"), F.lit(0).alias("y"), *[docs[f.name].alias(f"k{i}") for i, f in enumerate(kept)]))
+    answered = _answered(_sent(stored, model.ranges, False).unionByName(model.counts), parts)
+    return _finished(stored, answered, parts, model.totals, kept)
 
-    def run(texts, _):
-        words = Words(texts, ALNUM_LOWER)
-        words._hash = words.uniq_hash() >> np.uint64(1)
-        n = words.counts
-        mean = shared.value.losses(words) / np.maximum(n, 1)
-        none = n == 0
-        return [pa.array(n, pa.int64()), pa.array(mean[0], mask=none), pa.array(mean[1], mask=none), pa.array(mean[0] - mean[1], mask=none)]
 
-    return map_text(docs, run, fields, text, keep)
+def score_corpus(docs: DataFrame, target_ids: DataFrame, *, text: str = "text", doc_id: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
+    """``score(docs, fit(docs, target_ids))`` in one exchange: what a chunk counts is what it asks for."""
+    ship(docs.sparkSession)
+    kept, (ranges, parts) = _kept(docs, keep), _scale(docs, text)
+    stored = _store(_marked(docs, target_ids, text, doc_id, [f.name for f in kept]))
+    return _finished(stored, _answered(_sent(stored, ranges, True), parts), parts, _totals(stored), kept)
 
 
 def op8_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     target = labelled(read(spark, sf_dir, "labels"), label="quality").where("y = 1").select("id")
-    return score(docs, fit(docs, target), keep=["doc_id"])
+    return score_corpus(docs, target, keep=["doc_id"])
