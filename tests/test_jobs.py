@@ -225,3 +225,31 @@ def test_merges_look_only_into_segments_that_can_hold_a_key(store, spark):
     assert table.insert_new(full(rows(0, 0, 25)), key) == 4
     table.compact()
     assert list(table._state(table.version)["ranges"].values())[0]["log_offset"] == [0, 24]
+
+
+def test_many_segments_are_written_as_few(store, spark, monkeypatch):
+    from tidewell.plans import store as module
+
+    monkeypatch.setattr(module, "MOST_SEGMENTS", 6)
+    table = store["rejected_native"]
+    row = lambda i: spark.range(i, i + 1).selectExpr("concat('e', id) event_id", "'events' source", "'t' log_topic", "0 log_partition", "id log_offset", "'r' rejection_reason", "'{' raw_json", "CAST(NULL AS TIMESTAMP_NTZ) rejected_at")
+    for i in range(15):
+        table.insert_new(row(i), ["event_id"])
+        assert len(table._segments(table.version)) <= 6
+    assert sorted(r.log_offset for r in table.read().collect()) == list(range(15)) and table.read(1).count() == 1
+    assert [r.operation for r in table.history().collect()].count("compact") >= 2
+    before = table.version
+    assert table.insert_new(row(3), ["event_id"]) == before and not table.files.names(f"{table.home}/_aside")
+
+
+def test_a_merge_computes_its_rows_once(store, spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = spark.range(20).selectExpr("concat('e', id) event_id", "'events' source", "'t' log_topic", "0 log_partition", "id log_offset", "'r' rejection_reason", "'{' raw_json", "CAST(NULL AS TIMESTAMP_NTZ) rejected_at")
+    store["rejected_native"].insert_new(rows.mapInArrow(look, rows.schema), ["event_id"])
+    assert seen.value == 20

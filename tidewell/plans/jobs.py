@@ -52,7 +52,8 @@ def ingest(store: Store, root: str, *, source: str = "events", topic: str = "eve
 
 
 def normalize_native(store: Store, *, source: str = "events", collection: str = "post", strict: bool = False) -> None:
-    staged = native.stage(store["raw_events"].read().where(F.col("source") == source), collection=collection, strict=strict)
+    own = store["raw_events"].read().where(F.col("source") == source)
+    staged = _settled(store.spark, native.stage(own, collection=collection, strict=strict))  # parsed once for both products
     store["canonical_native"].insert_new(native.canonical(staged), ["event_id"])
     store["rejected_native"].insert_new(native.rejected(staged), ["event_id"])
 

@@ -6,7 +6,10 @@ two writers can't both make version n and readers never see half a write.  An
 append adds one segment, whatever the table's size; a replacement lists new
 segments alone.  The log keeps the ranges of each segment's whole-number
 columns, so a merge by log coordinates looks only into segments that its
-offsets can be in.  Paths go through Hadoop's file system, as Spark's do.
+offsets can be in; a merge by other keys reads the key columns alone.  Where
+segments become many, the smaller half of them is written as one, so a row is
+rewritten a logarithmic number of times and a version's list stays short.
+Paths go through Hadoop's file system, as Spark's do.
 """
 
 from __future__ import annotations
@@ -75,6 +78,10 @@ class Files:
         self.fs(path).delete(self.path(path), True)
 
 
+#: Segments beyond which the smaller half is written as one; bytes of a file that is written so, about.
+MOST_SEGMENTS, FILE_BYTES = 64, 128 << 20
+
+
 class Table:
     def __init__(self, spark: SparkSession, root: str, name: str, schema: T.StructType):
         if not name.isidentifier():
@@ -143,21 +150,44 @@ class Table:
 
     def append(self, rows: DataFrame) -> int:
         base = self.version
-        return self._publish(rows, "append", self._segments(base), base)
+        return self._tidy(self._publish(rows, "append", self._segments(base), base))
 
     def replace(self, rows: DataFrame, operation: str = "replace") -> int:
         """Makes ``rows`` the whole table; they may derive from the table itself."""
         return self._publish(rows, operation, [], self.version)
 
     def insert_new(self, incoming: DataFrame, key: list[str]) -> int:
-        """Insert-only merge: appends the rows whose key the table hasn't; no version if there are none."""
+        """Insert-only merge: appends the rows whose key the table hasn't; no version if there are none.
+
+        The incoming rows are written aside first: what they derive from is
+        computed once, however often the merge looks at them.
+        """
         base = self.version
         state = self._state(base)
-        there = self._read(self._overlapping(state, incoming, key))
-        new = merge.new_rows(there, merge.require_unique(incoming, key), key)
-        if new.isEmpty():
-            return base
-        return self._publish(new, "merge", state["segments"], base)
+        aside = f"{self.home}/_aside/{uuid.uuid4().hex}"
+        try:
+            incoming.write.parquet(aside)
+            incoming = self.spark.read.schema(incoming.schema).parquet(aside)
+            there = self._read(self._overlapping(state, incoming, key))
+            new = merge.new_rows(there, merge.require_unique(incoming, key), key)
+            if new.isEmpty():
+                return base
+            return self._tidy(self._publish(new, "merge", state["segments"], base))
+        finally:
+            self.files.delete(aside)
+
+    def _tidy(self, version: int) -> int:
+        """Writes the smaller half of the segments as one if there are too many; another writer's version goes first."""
+        segments = self._segments(version)
+        if len(segments) <= MOST_SEGMENTS:
+            return version
+        size = {s: sum(self.files.sizes(f"{self.home}/{s}")) for s in segments}
+        small = set(sorted(segments, key=lambda s: (size[s], s))[: len(segments) // 2])
+        rows = self._read([s for s in segments if s in small]).coalesce(max(1, -(-sum(size[s] for s in small) // FILE_BYTES)))
+        try:
+            return self._publish(rows, "compact", [s for s in segments if s not in small], version)
+        except StoreError:
+            return version
 
     def compact(self, files: int = 1) -> int:
         return self.replace(self.read().coalesce(files), "compact")
