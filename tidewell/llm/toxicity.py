@@ -32,12 +32,13 @@ from .textkernel import ALNUM_LOWER, Words, doc_sums, map_text
 
 #: Bounds of the labelled sample: documents of each class, documents for the curve.
 MODEL_DOCS, CURVE_DOCS = 2000, 4000
-#: Taken from each pooled count; pooled counts that weigh as much as the order below.
-DISCOUNT, BACKED = 0.75, 10.0
+#: Taken from each pooled count, so that what one predecessor alone shows is left to the order below; pooled counts that weigh
+#: as much as that order.
+DISCOUNT, BACKED = 1.0, 10.0
 #: Log-likelihood difference that a word has to exceed; the excess counts.
 TELLING = 0.8
 #: (evidence, label, weight) of the curve's made-up documents.
-PRIOR = ((0.25, 1.0, 4.0), (0.0, 0.0, 4.0))
+PRIOR = ((0.04, 1.0, 4.0), (0.0, 0.0, 4.0))
 #: Words below which a text counts as short; greatest share of toxic documents labelled 0.
 SHORT, MOST_WRONG = 50, 0.1
 #: What stands before a document's first word, and for words that the sample hasn't.
@@ -75,13 +76,18 @@ class Model:
         self.rare = int(self._at(np.array([RARE]))[0])
         v, w = np.where(pairs["v"] == START, n, self._at(pairs["v"])), self._at(pairs["w"])
         both = np.stack([pairs["t"], pairs["o"]]).astype(float)
-        both, kept = _shared(both, (self.uni / self.uni.sum(axis=0))[:, w])
+        # What the two words say of the class by themselves: the history's class shares times the word's likelihoods.
+        seen = np.stack([np.bincount(v, x, n + 1) for x in both])
+        prior = seen.sum(axis=1, keepdims=True) / max(seen.sum(), 1.0)
+        lower = ((seen + BACKED * prior) / (seen.sum(axis=0) + BACKED))[:, v] * self.uni[:, w]
+        both, kept = _shared(both, lower / lower.sum(axis=0))
         history = np.stack([np.bincount(v, x, n + 1) for x in both])
         kept = kept / np.maximum(history[:, v], 1e-9)
         self.back = np.stack([1.0 - np.bincount(v, x, n + 1) for x in kept])
-        keys = v * n + w
+        own = kept.any(axis=0)  # without the bigrams that the discount leaves nothing
+        keys = (v * n + w)[own]
         order = np.argsort(keys)
-        self.keys, self.kept = keys[order], kept[:, order]
+        self.keys, self.kept = keys[order], kept[:, own][:, order]
         self.curve = np.zeros(2)
 
     def _at(self, hashes: np.ndarray) -> np.ndarray:
