@@ -97,6 +97,57 @@ def test_no_candidates_and_empty_table(spark):
     assert pii.find(frame(spark, []), pii.train(frame(spark, []))).count() == 0
 
 
+def test_context_words_are_whole():
+    assert pii.votes("name", "Orla Wexford", "and she did ", "")[2] == "0" and pii.votes("name", "Orla Wexford", "signed by ", "")[2] == "+"
+    for word in ("said", "kids", "baby", "part", "Yvon", "spar", "monkey"):
+        assert pii.votes("name", "Orla Wexford", f"x {word} ", "")[2] == "0" and pii.votes("national_id", "519-45-6781", f"x {word} ", "")[2] in "0" + "-" * (word == "part")
+        assert pii.votes("secret", SECRET, f"x {word} ", "")[2] == "0"
+    assert pii.votes("secret", SECRET, "api_key=", "")[2] == "+" and pii.votes("secret", SECRET, "sha1 ", "")[2] == "-"
+
+
+def test_each_labeler_of_each_kind_tells_something():
+    seen = {
+        "iban": [("GB82WEST12345698765432", "my iban ", ""), ("ZZ82WEST12345698765432", "serial ", ""), ("ZZ82" + "A" * 40, "", "")],
+        "name": [("Dr. Anna Vogt", "from ", ""), ("New Hampton", "the hotel. ", "")],
+        "national_id": [("519-45-6781", "ssn ", ""), ("919-45-6781", "part #", "")],
+        "secret": [("ghp_aB3dE5fG7hI9kL1mN2o", "token ", ""), ("a-name-of-some-part-1", "version ", ""), ("123e4567-e89b-12d3-a456-426614174000", "uuid ", "")],
+    }
+    for kind, spans in seen.items():
+        said = [set(x) for x in zip(*(pii.votes(kind, *s) for s in spans), strict=True)]
+        assert all("+" in x or "-" in x for x in said) and sum({"+", "-"} <= x for x in said) >= 3, (kind, said)
+
+
+def made_names(n, seed):
+    r = random.Random(seed)
+    word = lambda: r.choice("BDFGKLMNPRSTVW") + "".join(r.choice("aeiou") + r.choice("lmnrst") for _ in range(r.randint(2, 3)))
+    return [f"{word()} {word()}" for _ in range(n)]
+
+
+def test_added_spans_on_labelled_examples(spark):
+    """Invented examples of every kind and of what looks like it; right are the spans marked here."""
+    r = random.Random(4)
+    code = lambda n, letters: "".join(r.choice(letters) for _ in range(n))
+    mixed, hexed = "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", "0123456789abcdef"
+    names, ids = made_names(160, 5), [f"{r.randint(100, 660)}-{r.randint(10, 99)}-{r.randint(1000, 9999)}" for _ in range(80)]
+
+    def iban(spaced):
+        body = "".join(r.choice("0123456789") for _ in range(18))
+        s = f"DE{98 - int(body + '131400') % 97:02d}{body}"
+        return " ".join(s[i : i + 4] for i in range(0, len(s), 4)) if spaced else s
+
+    rows = [f"{r.choice(['dear', 'contact', 'written by', 'signed:', 'from'])} {{{n}}} about it" for n in names[:80]]
+    rows += [f"we met {{{r.choice(['Dr.', 'Mrs', 'Herr'])} {n}}} there" for n in names[80:]]
+    rows += [f"near the river in {p}, as said" for p in ("New Hampton", "North Bergen", "Saint Albans", "Great Yarmouth", "United Kingdom", "Lake Placid", "South Bend", "Park Avenue") for _ in range(12)]
+    rows += [f"the ssn is {{{i}}} there" for i in ids[:40]] + [f"order part #{i} version" for i in ids[40:]]
+    rows += [f"iban {{{iban(k % 2)}}} of my account" for k in range(60)] + [f"serial ZZ12{code(16, 'ABCDEF0123456789')} model" for _ in range(60)]
+    rows += [f'{r.choice(["api_key", "token", "password"])} = "{{{code(32, mixed)}}}"' for _ in range(60)] + [f"secret: {{{code(40, hexed)}}}" for _ in range(30)]
+    rows += [f"commit {code(40, hexed)} fixes it" for _ in range(60)] + [f"see some-long-page-name-{i}-of-it" for i in range(60)]
+    docs = frame(spark, [(i, re.sub("[{}]", "", t)) for i, t in enumerate(rows)])
+    want = {(i, m.start(), m.end() - 2) for i, t in enumerate(rows) for m in re.finditer(r"\{[^}]*\}", t)}
+    got = {(x.doc_id, s.start, s.end) for x in pii.find(docs, pii.train(docs)).collect() for s in x.spans if s.kind in pii.LEARNED}
+    assert len(got & want) >= 0.95 * len(want) and len(got & want) >= 0.95 * len(got)
+
+
 def test_query(spark, tiny):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{tiny}/documents.parquet").collect()}
     found = registry.queries()["op4_pii"](spark, tiny).collect()

@@ -2,9 +2,11 @@
 
 Emails, IP addresses, card and phone numbers are found by their patterns and
 always stay.  Further kinds (names, national ids, IBANs, secrets) begin as
-candidates on which labelers vote for, against or not at all: a regex labeler
-on the shape, a gazetteer labeler, a context labeler on the words around, and
-a checksum-or-entropy labeler.  Counts of vote patterns over all documents go
+candidates of a shape alone, such as two capitalised words, on which labelers
+vote for, against or not at all: a regex labeler on the shape and what touches
+it, a gazetteer labeler (titles' and first names, places and calendar words,
+countries, issuers, areas), a context labeler on whole words around, and a
+checksum-or-entropy labeler.  Counts of vote patterns over all documents go
 through expectation-maximisation, which estimates each labeler's reliability
 for each kind and so a probability for each pattern; with these as soft labels
 a logistic span classifier is trained on features of the span and its
@@ -42,35 +44,54 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]+){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
+# Words and numbers that labelers know.
 _TITLES = "Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora"
-_FIRST = "Anna|Carlos|David|Elena|Emma|Hans|Jean|John|José|Juan|Klaus|Laura|Lucía|Maria|Marie|Mary|Michael|Paul|Peter|Pierre|Robert|Sophie|Thomas"
+_FIRST = frozenset("Anna Carlos David Elena Emma Hans Jean John José Juan Klaus Laura Lucía Maria Marie Mary Michael Paul Peter Pierre Robert Sophie Thomas".split())
+_NO_NAMES = frozenset(
+    "January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
+    "New North South East West United Great The This That These Those In On At And But For With Street Road Avenue Square Park Lake River Mount Saint "
+    "University Museum Hotel Airport Station Court Bank Company Republic Kingdom States City County".split()
+)
+_IBAN_SIZES = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
+_SPECIMENS = frozenset(["078-05-1120", "123-45-6789", "219-09-9999"])
+_ISSUERS = re.compile(r"(?:ghp_|gho_|AKIA|ASIA|sk-|sk_live_|xox[abp]-|AIza|glpat-)")
+_YES = {
+    "iban": "iban|bic|account|konto|compte|cuenta",
+    "name": "name|contact|by|from|dear|signed|hello|regards|sincerely|author|von|par|por",
+    "national_id": "ssn|social|security|id|identity|taxpayer",
+    "secret": "tokens?|secrets?|passw(?:or)?d|passwort|api|keys?|apikey|auth|credentials?",
+}
+_NO = {
+    "iban": "serial|order|model|part",
+    "name": "street|avenue|museum|saint|university|river|airport|hotel|city",
+    "national_id": "part|model|version|isbn|order|phone|fax",
+    "secret": "commit|sha|sha1|sha256|hash|checksum|md5|digest|version|isbn|uuid|iban|account|serial|order|model",
+}
+_CAPITAL = "[A-ZÀ-Þ][a-zß-ÿ]+"
 _CANDIDATES = {
-    "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])"),
-    "name": re.compile(rf"(?<![^\W\d_])(?:(?:{_TITLES})\.? [A-ZÀ-Þ][a-zß-ÿ]+(?: [A-ZÀ-Þ][a-zß-ÿ]+)?|(?:{_FIRST}) [A-ZÀ-Þ][a-zß-ÿ]+)(?![^\W\d_])"),
+    "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
+    "name": re.compile(rf"(?<![^\W\d_])(?:(?:{_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})?|{_CAPITAL} {_CAPITAL})(?![^\W\d_])"),
     "national_id": re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"),
     "secret": re.compile(r"(?<![A-Za-z0-9_-])(?=[A-Za-z_-]*[0-9])(?=[0-9_-]*[A-Za-z])[A-Za-z0-9_-]{20,}"),
 }
 #: Whether a text can hold a name at all; Arrow's regex engine asks it of whole columns.
-_NAMED = rf"(?:{_TITLES})\.? [A-ZÀ-Þ]|(?:{_FIRST}) [A-ZÀ-Þ]"
-_SAYS_YES = {
-    "iban": re.compile(r"(?i)iban|account|konto|compte|cuenta"),
-    "name": re.compile(r"(?i)name|contact|by|from|dear|signed|von|par|por"),
-    "national_id": re.compile(r"(?i)ssn|social|security|id"),
-    "secret": re.compile(r"(?i)token|secret|passw|api|key|auth|credential"),
-}
-_SAYS_NO = {
-    "iban": re.compile(r"(?i)serial|order|model"),
-    "name": re.compile(r"(?i)street|avenue|street|museum|saint"),
-    "national_id": re.compile(r"(?i)part|model|version|isbn"),
-    "secret": re.compile(r"(?i)commit|sha|hash|md5|digest|version|isbn|uuid"),
-}
-_ISSUERS = re.compile(r"(?:ghp_|gho_|AKIA|ASIA|sk-|sk_live_|xox[abp]-|AIza|glpat-)")
-_COUNTRIES = frozenset("AT BE CH CZ DE DK ES FI FR GB IE IT LU NL NO PL PT SE".split())
-_HEX = re.compile(r"(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{64}|[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})")
+_NAMED = rf"(?:{_TITLES})\.? [A-ZÀ-Þ]|{_CAPITAL} [A-ZÀ-Þ]"
+
+
+def _words(choice: str) -> re.Pattern:
+    """Any of the words, whole."""
+    return re.compile(rf"(?i)(?<![^\W\d_])(?:{choice})(?![^\W\d_])")
+
+
+_SAYS_YES, _SAYS_NO = ({kind: _words(choice) for kind, choice in said.items()} for said in (_YES, _NO))
+_TITLED = re.compile(rf"(?:{_TITLES})\.? ")
+_HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
+_PARTS = re.compile(r"(?:^|[-_])[A-Za-z]{3,}(?=[-_]|$)")
+_UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 #: Characters before and after a span that context labelers and features see.
 AROUND = 24
 LABELERS = 4
-FEATURES = 7
+FEATURES = 11
 
 
 def luhn(digits: str) -> bool:
@@ -112,34 +133,44 @@ def _iban(s: str) -> bool:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
 
+def _vote(yes: bool, no: bool = False) -> str:
+    return "+" if yes else "-" if no else "0"
+
+
 def votes(kind: str, span: str, before: str, after: str) -> str:
     """One character a labeler, in order shape, gazetteer, context, check: + for, - against, 0 neither."""
-    digits = sum(c.isdigit() for c in span)
-    shape = gazetteer = check = "0"
+    plain = span.replace(" ", "")
     if kind == "secret":
-        shape = "+" if _HEX.fullmatch(span) else "-" if digits < 3 else "0"
-        gazetteer = "+" if _ISSUERS.match(span) else "0"
-        check = "+" if _entropy(span) >= 3.2 else "-"
+        kinds = sum(any(map(test, span)) for test in (str.isupper, str.islower, str.isdigit))
+        hexadecimal = bool(_HEX.fullmatch(span))  # a digest as well as a secret
+        worded = len(_PARTS.findall(span)) > 1
+        shape = _vote(kinds == 3, sum(c.isdigit() for c in span) < 3 or worded)
+        gazetteer = _vote(bool(_ISSUERS.match(span)), bool(_UUID.search(span) or _CANDIDATES["iban"].fullmatch(span)))
+        check = _vote(_entropy(span) >= 3.5 and not hexadecimal and not worded, _entropy(span) < 3.2)
     elif kind == "name":
-        words = span.replace(".", "").split(" ")
-        shape = "+" if len(words) > 2 else "0"
-        gazetteer = "+" if any(w in _FIRST.split("|") for w in words) else "0"
-        check = "+" if all(2 < len(w) < 15 for w in words[1:]) else "-"
+        words = _TITLED.sub("", span).split(" ")
+        shape = _vote(bool(_TITLED.match(span)))
+        gazetteer = _vote(any(w in _FIRST for w in words), any(w in _NO_NAMES for w in words))
+        check = _vote(all(2 < len(w) < 15 for w in words) and before.rstrip()[-1:] not in ("", ".", "!", "?"), True)  # in mid-sentence
     elif kind == "iban":
-        shape = "+" if len(span) <= 34 else "-"
-        gazetteer = "+" if span[:2] in _COUNTRIES else "-"
-        check = "+" if _iban(span) else "-"
+        shape = _vote(len(plain) == _IBAN_SIZES.get(span[:2]), len(plain) > 34)
+        gazetteer = _vote(span[:2] in _IBAN_SIZES, True)
+        check = _vote(_iban(plain), True)
     else:
-        shape = "+"
-        check = "-" if span[:3] in ("000", "666") or span[0] == "9" or span[4:6] == "00" or span[7:] == "0000" else "+"
+        area = int(span[:3])
+        touched = before[-1:] in tuple("./#_+=") and before != "" or after[:1] in tuple("/#_+=") and after != ""
+        shape = _vote(not touched, touched)
+        gazetteer = _vote(0 < area <= 772, area >= 900)
+        check = _vote(True) if area not in (0, 666) and area < 900 and span[4:6] != "00" and span[7:] != "0000" and span not in _SPECIMENS else "-"
     near = before + " " + after
-    context = "+" if _SAYS_YES[kind].search(near) else "-" if _SAYS_NO[kind].search(near) else "0"
+    context = _vote(bool(_SAYS_YES[kind].search(near)), bool(_SAYS_NO[kind].search(near)))
     return shape + gazetteer + context + check
 
 
-def span_features(span: str, before: str, after: str) -> str:
+def span_features(kind: str, span: str, before: str, after: str) -> str:
     """``FEATURES`` 0/1 characters of the span and its surroundings."""
     digits, letters = sum(c.isdigit() for c in span), sum(c.isalpha() for c in span)
+    near = before + " " + after
     return "".join(
         "01"[bool(x)]
         for x in (
@@ -150,21 +181,34 @@ def span_features(span: str, before: str, after: str) -> str:
             before[-1:] in ('"', "'"),
             after[:1] in ('"', "'"),
             not before or before[-1:] == "\n",
+            _TITLED.match(span) or _ISSUERS.match(span) or span[:2] in _IBAN_SIZES,
+            len(_PARTS.findall(span)) > 1 or any(w in _NO_NAMES for w in span.split(" ")),
+            _SAYS_YES[kind].search(near),
+            _SAYS_NO[kind].search(near),
         )
     )
 
 
+def _cut(kind: str, m: re.Match) -> int | None:
+    """Where a candidate ends: an IBAN after as many characters as its country's have; None if it is too short."""
+    if kind != "iban":
+        return m.end()
+    places = [i for i, c in enumerate(m.group()) if c != " "]
+    size = _IBAN_SIZES.get(m.group()[:2], len(places))
+    return m.start() + places[min(size, len(places)) - 1] + 1 if len(places) >= 15 else None
+
+
 def candidates(text: str, taken: list[tuple[str, int, int]], digits: bool, named: bool):
     """(kind, start, end, votes, features) of each candidate that no base span overlaps."""
     for kind in LEARNED:
         if not (named if kind == "name" else digits):
             continue
         for m in _CANDIDATES[kind].finditer(text):
-            a, b = m.span()
-            if any(a < e and s < b for _, s, e in taken):
+            a, b = m.start(), _cut(kind, m)
+            if b is None or any(a < e and s < b for _, s, e in taken):
                 continue
-            before, after = text[max(0, a - AROUND) : a], text[b : b + AROUND]
-            yield kind, a, b, votes(kind, m.group(), before, after), span_features(m.group(), before, after)
+            span, before, after = text[a:b], text[max(0, a - AROUND) : a], text[b : b + AROUND]
+            yield kind, a, b, votes(kind, span, before, after), span_features(kind, span, before, after)
 
 
 def _looks(texts: pa.Array):
@@ -202,14 +246,16 @@ def _axes(rows: list[tuple[str, str]]) -> np.ndarray:
 def estimate(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, float], dict]:
     """(probability of each vote pattern, reliabilities) of one kind by expectation-maximisation.
 
-    Two classes, votes independent given the class.  It starts from the
-    majority of votes, and pseudo-votes keep every labeler better than chance
-    where the data say little.
+    Two classes, votes independent given the class; a labeler that doesn't vote
+    says nothing, and the majority of votes is each pattern's prior.  It starts from the majority of votes, and pseudo-votes keep
+    every labeler better than chance where the data say little.
+    Reliabilities are the shares of votes for, none and against by labeler.
     """
     names = sorted(patterns)
     n = np.array([patterns[p] for p in names], float)
     sign = np.array([[{"+": 1, "-": -1, "0": 0}[c] for c in p] for p in names])
-    true = 1 / (1 + np.exp(-2.0 * sign.sum(axis=1) + 0.5))
+    prior = sign.sum(axis=1) - 0.25
+    true = 1 / (1 + np.exp(-2.0 * prior))
     shown = np.stack([sign == s for s in (1, 0, -1)], axis=2).astype(float)  # pattern, labeler, vote
     prior_true, prior_false = np.array([3.0, 2.0, 1.0]), np.array([1.0, 2.0, 3.0])
     for _ in range(rounds):
@@ -217,17 +263,21 @@ def estimate(patterns: dict[str, int], rounds: int = 100) -> tuple[dict[str, flo
         yes = np.einsum("p,plv->lv", w, shown) + prior_true
         no = np.einsum("p,plv->lv", n - w, shown) + prior_false
         yes, no = yes / yes.sum(axis=1, keepdims=True), no / no.sum(axis=1, keepdims=True)
-        share = (w.sum() + 1) / (n.sum() + 2)
-        odds = np.log(share / (1 - share)) + np.einsum("plv,lv->p", shown, np.log(yes) - np.log(no))
+        odds = prior + np.einsum("plv,lv->p", shown[:, :, ::2], (np.log(yes) - np.log(no))[:, ::2])
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - true).max() < 1e-9:
             break
         true = new
-    return dict(zip(names, true.tolist(), strict=True)), {"share": share, "if_true": yes, "if_false": no}
+    return dict(zip(names, true.tolist(), strict=True)), {"share": float((n * true).sum() / n.sum()), "if_true": yes, "if_false": no}
 
 
 def train(docs: DataFrame, *, text: str = "text") -> Model:
-    """Votes on every candidate of ``docs``, reliabilities by EM, and the span classifier."""
+    """Votes on every candidate of ``docs``, reliabilities by EM, and the span classifier.
+
+    Null and blank texts have no candidates; repeated rows count each time.  A
+    kind without a candidate, as in an empty table, has no model and adds no
+    span.
+    """
     ship(docs.sparkSession)
     own = docs.select(docs[text].cast("string").alias("text")).where("text IS NOT NULL")
 
