@@ -108,7 +108,7 @@ def test_context_words_are_whole():
 def test_each_labeler_of_each_kind_tells_something():
     seen = {
         "iban": [("GB82WEST12345698765432", "my iban ", ""), ("ZZ82WEST12345698765432", "serial ", ""), ("ZZ82" + "A" * 40, "", "")],
-        "name": [("Dr. Anna Vogt", "from ", ""), ("New Hampton", "the hotel. ", "")],
+        "name": [("Dr. Anna Vogt", "from ", ""), ("New Hampton", "the hotel. ", " Public")],
         "national_id": [("519-45-6781", "ssn ", ""), ("919-45-6781", "part #", "")],
         "secret": [("ghp_aB3dE5fG7hI9kL1mN2o", "token ", ""), ("a-name-of-some-part-1", "version ", ""), ("123e4567-e89b-12d3-a456-426614174000", "uuid ", "")],
     }
@@ -138,6 +138,7 @@ def test_added_spans_on_labelled_examples(spark):
     rows = [f"{r.choice(['dear', 'contact', 'written by', 'signed:', 'from'])} {{{n}}} about it" for n in names[:80]]
     rows += [f"we met {{{r.choice(['Dr.', 'Mrs', 'Herr'])} {n}}} there" for n in names[80:]]
     rows += [f"near the river in {p}, as said" for p in ("New Hampton", "North Bergen", "Saint Albans", "Great Yarmouth", "United Kingdom", "Lake Placid", "South Bend", "Park Avenue") for _ in range(12)]
+    rows += [f"licensed under the {p} of old" for p in ("Apache License", "General Public License", "Weare Weare Weare") for _ in range(20)] + [f"{n} {n.split()[0]} stood there" for n in made_names(40, 6)]
     rows += [f"the ssn is {{{i}}} there" for i in ids[:40]] + [f"order part #{i} version" for i in ids[40:]]
     rows += [f"iban {{{iban(k % 2)}}} of my account" for k in range(60)] + [f"serial ZZ12{code(16, 'ABCDEF0123456789')} model" for _ in range(60)]
     rows += [f'{r.choice(["api_key", "token", "password"])} = "{{{code(32, mixed)}}}"' for _ in range(60)] + [f"secret: {{{code(40, hexed)}}}" for _ in range(30)]

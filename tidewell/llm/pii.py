@@ -50,7 +50,8 @@ _FIRST = frozenset("Anna Carlos David Elena Emma Hans Jean John José Juan Klaus
 _NO_NAMES = frozenset(
     "January February March April May June July August September October November December Monday Tuesday Wednesday Thursday Friday Saturday Sunday "
     "New North South East West United Great The This That These Those In On At And But For With Street Road Avenue Square Park Lake River Mount Saint "
-    "University Museum Hotel Airport Station Court Bank Company Republic Kingdom States City County".split()
+    "University Museum Hotel Airport Station Court Bank Company Republic Kingdom States City County "
+    "License Licence Public General Version Software Foundation Copyright Rights Reserved".split()
 )
 _IBAN_SIZES = {"AT": 20, "BE": 16, "CH": 21, "CZ": 24, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24}
 _SPECIMENS = frozenset(["078-05-1120", "123-45-6789", "219-09-9999"])
@@ -67,7 +68,7 @@ _NO = {
     "national_id": "part|model|version|isbn|order|phone|fax",
     "secret": "commit|sha|sha1|sha256|hash|checksum|md5|digest|version|isbn|uuid|iban|account|serial|order|model",
 }
-_CAPITAL = "[A-ZÀ-Þ][a-zß-ÿ]+"
+_CAPITAL = "[A-ZÀ-Þ][a-zß-ÿ]{2,}"
 _CANDIDATES = {
     "iban": re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"),
     "name": re.compile(rf"(?<![^\W\d_])(?:(?:{_TITLES})\.? {_CAPITAL}(?: {_CAPITAL})?|{_CAPITAL} {_CAPITAL})(?![^\W\d_])"),
@@ -85,6 +86,7 @@ def _words(choice: str) -> re.Pattern:
 
 _SAYS_YES, _SAYS_NO = ({kind: _words(choice) for kind, choice in said.items()} for said in (_YES, _NO))
 _TITLED = re.compile(rf"(?:{_TITLES})\.? ")
+_MORE, _EARLIER = re.compile(rf" {_CAPITAL}"), re.compile(rf"{_CAPITAL} $")
 _HEX = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _PARTS = re.compile(r"(?:^|[-_])[A-Za-z]{3,}(?=[-_]|$)")
 _UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
@@ -149,9 +151,9 @@ def votes(kind: str, span: str, before: str, after: str) -> str:
         check = _vote(_entropy(span) >= 3.5 and not hexadecimal and not worded, _entropy(span) < 3.2)
     elif kind == "name":
         words = _TITLED.sub("", span).split(" ")
-        shape = _vote(bool(_TITLED.match(span)))
+        shape = _vote(bool(_TITLED.match(span)), bool(_MORE.match(after) or _EARLIER.search(before)))  # part of a heading
         gazetteer = _vote(any(w in _FIRST for w in words), any(w in _NO_NAMES for w in words))
-        check = _vote(all(2 < len(w) < 15 for w in words) and before.rstrip()[-1:] not in ("", ".", "!", "?"), True)  # in mid-sentence
+        check = _vote(False, not all(len(w) < 15 for w in words) or before.rstrip()[-1:] in ("", ".", "!", "?"))  # sentences begin so
     elif kind == "iban":
         shape = _vote(len(plain) == _IBAN_SIZES.get(span[:2]), len(plain) > 34)
         gazetteer = _vote(span[:2] in _IBAN_SIZES, True)
@@ -190,7 +192,9 @@ def span_features(kind: str, span: str, before: str, after: str) -> str:
 
 
 def _cut(kind: str, m: re.Match) -> int | None:
-    """Where a candidate ends: an IBAN after as many characters as its country's have; None if it is too short."""
+    """Where a candidate ends: an IBAN after as many characters as its country's have; None if it is too short, or a name one word twice."""
+    if kind == "name" and len(set(words := m.group().split(" "))) < len(words):
+        return None
     if kind != "iban":
         return m.end()
     places = [i for i, c in enumerate(m.group()) if c != " "]
