@@ -7,15 +7,12 @@ return the columns of documents.
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewell.llm import bpe, decontaminate, neardup, pii, toxicity
-from tidewell.llm.runtime import read
+from tidewell.llm.runtime import read, shared_folder
 from tidewell.plans.store import Files
 
 
@@ -29,21 +26,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), training=~toxicity.held_out("id"))
     if not model.curve.any():
         return docs
-    scored = toxicity.score(docs, model, out="toxicity_score_")
-    return scored.where("toxicity_score_ < 0.5").select(*docs.columns)
+    # Under other names, so that no column of the documents clashes with the score.
+    renamed = docs.select(*[docs[c].alias(f"in_{c}") for c in docs.columns])
+    clean = toxicity.score(renamed, model, text="in_text").where("score < 0.5")
+    return clean.select(*[F.col(f"in_{c}").alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: Jaccard 0.8 or more on shingles of five words.
 
     Rows without a doc_id stay.  Rows that share a doc_id stay if one of them
-    does, but a row repeated with its text stays once.
+    does, but of rows that share doc_id and text one stays, the least by its
+    other columns.
     """
     kept = neardup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    own = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    again = F.row_number().over(Window.partitionBy("doc_id", "text").orderBy("doc_id"))
-    own = own.withColumn("again_", again).where("again_ = 1").select(*docs.columns)
-    return own.unionByName(docs.where("doc_id IS NULL"))
+    own = docs.where("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi").select(*[docs[c].alias(f"in_{c}") for c in docs.columns])
+    rest = [F.col(f"in_{f.name}") for f in docs.schema if f.name not in ("doc_id", "text") and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    # The join has brought equal ids together; digests spare the sort from comparing texts.
+    turn = F.row_number().over(Window.partitionBy("in_doc_id", "digest").orderBy(*(rest or ["digest"])))
+    once = own.withColumn("digest", F.md5(F.col("in_text").cast("string"))).withColumn("turn", turn).where("turn = 1")
+    return once.select(*[F.col(f"in_{c}").alias(c) for c in docs.columns]).unionByName(docs.where("doc_id IS NULL"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -87,8 +89,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     files go once the next stage is written, so two copies exist at most.
     """
     files = Files(spark)
-    shared = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidewell_checkpoints")
-    folder = f"{shared.rstrip('/')}/corpus_pipeline/{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/corpus_pipeline"
     docs = read(spark, sf_dir, "documents")
     before = None
     for name, stage in STAGES:
