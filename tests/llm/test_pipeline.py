@@ -94,3 +94,18 @@ def test_without_labels_no_document_is_toxic(spark, tables, tmp_path):
 
 def test_oracle_is_none():
     assert P.ORACLE_SQL is None and len(P.STAGES) == 5
+
+
+def test_names_that_clash_and_rows_that_repeat(spark, tables):
+    """Working columns of the stages leave columns of those names alone; of rows with one id and text the least stays."""
+    docs = spark.read.parquet(f"{tables}/documents.parquet")
+    named = docs.selectExpr("*", "7 AS score", "'a' AS digest", "'b' AS turn", "concat('in', doc_id) AS in_text", "3.5D AS toxicity_score_", "map('k', 1) AS m")
+    again = named.unionByName(named.where("doc_id BETWEEN 100 AND 120").selectExpr("doc_id", "text", "'de' AS lang", "source", "n_chars", "score", "digest", "turn", "in_text", "toxicity_score_", "m"))
+    for stage in (P.drop_toxic, P.drop_near_duplicates, P.drop_contaminated, P.redact_personal_data):
+        again = stage(spark, again, tables)
+        assert again.columns == named.columns
+        rows = again.collect()
+        assert rows and all((r.score, r.digest, r.turn, r.toxicity_score_, r.m) == (7, "a", "b", 3.5, {"k": 1}) and r.in_text == (None if r.doc_id is None else f"in{r.doc_id}") for r in rows)
+        again = spark.createDataFrame(rows, again.schema)
+    kept = {r.doc_id: r.lang for r in rows}
+    assert all(kept[i] == "de" for i in kept if i and 100 <= i <= 120) and len([r for r in rows if r.doc_id == 110]) == 1
