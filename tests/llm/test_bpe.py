@@ -60,3 +60,18 @@ def test_refuses_other_models():
 
     with pytest.raises(ValueError):
         bpe.Codec(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@pytest.mark.parametrize("kind", ["Metaspace", "ByteLevel", "none"])
+def test_vocabularies_that_keep_white_space_are_refused(tmp_path, kind):
+    """A text cut at white space would lose what these tokenizers make of it."""
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    letters = "abcdefghijklmnopqrstuvwxyzWé1.' \u2581\u0120"
+    small = Tokenizer(models.BPE(vocab={c: i for i, c in enumerate(letters)}, merges=[]))
+    if kind != "none":
+        small.pre_tokenizer = pre_tokenizers.Metaspace() if kind == "Metaspace" else pre_tokenizers.ByteLevel(add_prefix_space=False)
+    small.save(str(tmp_path / "small.json"))
+    with pytest.raises(ValueError, match="white space"):
+        bpe.Codec(str(tmp_path / "small.json"))
+    assert bpe.Codec(bpe.default_vocabulary())

@@ -47,6 +47,8 @@ class Codec:
         self.whole.no_padding()
         if self.whole.decoder is not None or type(self.whole.model).__name__ != "BPE":
             raise ValueError("this codec wants a BPE model without a decoder")
+        if not self._drops_space():
+            raise ValueError("this codec wants a tokenizer that drops ASCII white space and knows no word by what is around it")
         self.model = self.whole.model
         self.special = {t.content: i for i, t in self.whole.get_added_tokens_decoder().items()}
         self.cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
@@ -74,6 +76,13 @@ class Codec:
             self._width = {i: len(n.removesuffix(suffix)) if suffix else len(n) for n, i in self.whole.get_vocab(with_added_tokens=True).items()}
         return self._width
 
+    def _drops_space(self) -> bool:
+        """Whether texts may be cut at white space: every run's ids are its own, and white space has none."""
+        ids = lambda text: self.whole.encode(text, add_special_tokens=False).ids
+        words = ["a", "hello", "World", "1", "é", ".", "don't"]
+        alone = [i for w in words for i in ids(w)]
+        return all(ids(edge + gap.join(words) + edge) == alone for c in " \t\n\x0b\x0c\r" for gap in (c, 2 * c) for edge in ("", c))
+
     def _plain_split(self):
         """The file's own split pattern, if its steps are those that ``run`` takes by itself."""
         import regex
