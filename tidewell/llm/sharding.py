@@ -81,11 +81,19 @@ def assign_shards(docs: DataFrame, *, key: str = "doc_id", text: str = "text", l
     return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(kept)], F.col("depth").alias("shard_depth"), F.col("prefix").alias("shard_prefix"), F.col("bytes").alias("shard_bytes"), F.col("docs").alias("shard_docs"), F.col("oversized").alias("shard_oversized"))
 
 
-def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Writes each shard under ``path`` as a Parquet folder shard=<depth>-<prefix>."""
-    placed = assign_shards(docs, **options)
+def write_shards(docs: DataFrame, path: str, *, limit: int = SHARD_BYTES, **options) -> None:
+    """Writes each shard under ``path`` as a Parquet folder shard=<depth>-<prefix>.
+
+    An oversized shard, of one key or one document, is written by as many
+    tasks as it has limits' worth of bytes.  Null texts have no bytes, rows
+    with a null key share a shard, repeated rows are all written, and an empty
+    table writes none.
+    """
+    placed = assign_shards(docs, limit=limit, **options)
     name = F.concat_ws("-", F.col("shard_depth"), F.col("shard_prefix"))
-    placed.withColumn("shard", name).repartition("shard").drop("shard_depth", "shard_prefix", "shard_bytes", "shard_docs", "shard_oversized").write.partitionBy("shard").parquet(path)
+    writer = F.pmod(F.monotonically_increasing_id(), F.ceil(F.greatest(F.col("shard_bytes"), F.lit(1)) / limit))
+    dealt = placed.withColumns({"shard": name, "shard_writer": writer}).repartition("shard", "shard_writer")
+    dealt.drop("shard_depth", "shard_prefix", "shard_bytes", "shard_docs", "shard_oversized", "shard_writer").write.partitionBy("shard").parquet(path)
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
