@@ -32,8 +32,10 @@ def components(edges: DataFrame, u: str = "u", v: str = "v") -> DataFrame:
 
     Each round halves paths, so rounds grow with the logarithm of a component's
     length; every round is checkpointed, so the plan stays short and a lost
-    executor costs one round.  No edge or label reaches the driver.  Loops and
-    edges with a null end are ignored.
+    executor costs one round.  No edge or label reaches the driver.  A star's
+    centre is one key of the join with one row on its other side, which the
+    adaptive planner splits where it is skewed; minima combine before they
+    shuffle.  Loops and edges with a null end are ignored.
     """
     now = edges.select(F.col(u).alias("u"), F.col(v).alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
     now = checkpointed(now.distinct())

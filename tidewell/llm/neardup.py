@@ -316,10 +316,12 @@ def near_duplicates(docs: DataFrame, *, text: str = "text", doc_id: str = "doc_i
 
     # Full sets go to their clusters, large clusters as pairs of blocks.
     members = checkpointed(classes.select("key", "rep", "n").join(clusters.withColumnRenamed("node", "key"), "key"))
-    totals = members.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).cast("int").alias("blocks"))
+    # Only the few that exceed a block are joined, so a component of any size is no key of a large join.
+    totals = members.groupBy("component").agg(F.ceil(F.sum("n") / CLUSTER_SHINGLES).cast("int").alias("blocks")).where("blocks > 1")
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     placed = (
-        members.join(totals, "component")
+        members.join(totals, "component", "left")
+        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("b", block)
         .withColumn("parts", F.expr("transform(sequence(0, blocks - 1), j -> concat(hex(component), ':', least(b, j), ':', greatest(b, j)))"))
         .select("key", "rep", "parts")
