@@ -20,7 +20,7 @@ from .store import Store
 LOG_KEY = ["log_topic", "log_partition", "log_offset"]
 
 
-def _settled(spark: SparkSession, df: DataFrame) -> DataFrame:
+def settled(spark: SparkSession, df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read again, so several writes don't compute it anew."""
     path = shared_folder(spark, "settled")
     df.write.parquet(path)
@@ -53,7 +53,7 @@ def ingest(store: Store, root: str, *, source: str = "events", topic: str = "eve
 
 def normalize_native(store: Store, *, source: str = "events", collection: str = "post", strict: bool = False) -> None:
     own = store["raw_events"].read().where(F.col("source") == source)
-    staged = _settled(store.spark, native.stage(own, collection=collection, strict=strict))  # parsed once for both products
+    staged = settled(store.spark, native.stage(own, collection=collection, strict=strict))  # parsed once for both products
     store["canonical_native"].insert_new(native.canonical(staged), ["event_id"])
     store["rejected_native"].insert_new(native.rejected(staged), ["event_id"])
 
@@ -66,7 +66,7 @@ def validate_contract(store: Store, contract: Contract = Contract(), *, rebuild:
     a newer contract accepts leaves quarantine.
     """
     spark = store.spark
-    staged = _settled(spark, reliable.judged(reliable.occurrences(store["raw_events"].read(), contract.source), contract))
+    staged = settled(spark, reliable.judged(reliable.occurrences(store["raw_events"].read(), contract.source), contract))
     out = reliable.outputs(staged)
     products = {"canonical_events": (out.canonical, "event_id"), "quarantine": (out.quarantine, "occurrence_id"), "duplicate_occurrences": (out.repeats, "occurrence_id"), "schema_observations": (out.shapes, "shape_fingerprint")}
     for name, (rows, key) in products.items():
@@ -96,7 +96,7 @@ def refresh_windows(store: Store, *, source: str = "events") -> Refreshed:
     posts = windows.created_posts(events, source).count()
     existing = table.read().where(F.col("source") == source).count()
     checks.guard_empty(posts, existing)
-    snapshot = _settled(spark, windows.post_windows(events, source))
+    snapshot = settled(spark, windows.post_windows(events, source))
     merge.require_unique(snapshot, WINDOW_KEY)
     table.replace(merge.full_snapshot(table.read(), snapshot, source), "merge snapshot")
     checks.require_reconciled(table.read(), posts, source)

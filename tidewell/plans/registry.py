@@ -9,7 +9,7 @@ from ..functions import exprs as X
 from ..operators import checks, merge, native, reliable, windows
 from ..schemas import MEASURES, WINDOW_KEY
 from ..sources import eventlog
-from . import catalog, landed
+from . import catalog, jobs, landed
 
 SOURCE = eventlog.SOURCE
 
@@ -67,7 +67,9 @@ def _reconcile(spark, d):
 
 
 def _conflicts(spark, d):
-    out = _contract(spark, d)
+    # Two products of the same verdicts: the events are judged once.
+    staged = jobs.settled(spark, reliable.judged(reliable.occurrences(_raw(spark, d), SOURCE)))
+    out = reliable.outputs(staged)
     return catalog.payload_conflicts(out.repeats, out.canonical)
 
 
