@@ -161,7 +161,7 @@ def test_firehose_gives_up_after_many_failures():
 def test_firehose_as_a_stream(spark, tmp_path):
     path = tmp_path / "feed.jsonl"
     docs(path, [10, 20, 30])
-    spark.dataSource.register(firehose.Firehose)
+    firehose.register(spark)
     seen = []
     stream = spark.readStream.format("tidewell_firehose").option("url", f"ws://local?file={path}").load()
     query = stream.writeStream.foreachBatch(lambda df, _: seen.extend(r.time_us for r in df.collect())).option("checkpointLocation", f"{tmp_path}/c").start()

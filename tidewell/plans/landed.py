@@ -187,7 +187,7 @@ def firehose_messages(spark: SparkSession, d: str) -> DataFrame:
         ordered = _raw(spark, d).where("log_partition = 0").select("raw_json", "log_offset").orderBy("log_offset")
         for row in ordered.toLocalIterator():
             f.write(row["raw_json"] + "\n" if _readable(row["raw_json"]) else "")
-    spark.dataSource.register(firehose.Firehose)
+    firehose.register(spark)
     stream = spark.readStream.format("tidewell_firehose").option("url", f"ws://recorded?file={disk}/feed.jsonl").option("maxEvents", 1 << 30).load()
     query = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").option("path", f"{folder}/out").start()
     try:

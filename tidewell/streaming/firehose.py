@@ -15,12 +15,16 @@ import hashlib
 import json
 import logging
 import random
+import sys
 import time
 from collections.abc import Callable, Iterator
 from urllib.parse import parse_qs, urlsplit
 
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
+from ..runtime import PACKAGE, ship
 from ..sources.cursor import stale, subscription_url
 from ..sources.posts import prepare_message
 from ..sources.websocket import WebSocket
@@ -143,3 +147,20 @@ class Firehose(DataSource):
 
     def simpleStreamReader(self, schema) -> FirehoseReader:
         return FirehoseReader(dict(self.options) if not isinstance(self.options, dict) else self.options)
+
+
+def register(spark: SparkSession) -> None:
+    """Makes the format known to a session, wherever this package is installed.
+
+    Spark plans a source in a Python process of its own, which may not find
+    the package, so the classes go there by value.
+    """
+    ship(spark)
+    own = [m for name, m in list(sys.modules.items()) if name.split(".")[0] == PACKAGE.name and m is not None]
+    for module in own:
+        cloudpickle.register_pickle_by_value(module)
+    try:
+        spark.dataSource.register(Firehose)
+    finally:
+        for module in own:
+            cloudpickle.unregister_pickle_by_value(module)
