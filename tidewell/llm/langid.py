@@ -142,7 +142,8 @@ def train(docs: DataFrame, *, text: str = "text", lang: str = "lang", doc_id: st
     if training is not None:
         own = own.where(training)
     sizes = own.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    share = sizes.select("lang", F.least(F.lit(1.0), train_docs / F.col("n")).alias("share"))
+    # A row for each language, where the model on the driver has SLOTS numbers: a small part of it, and no text moves.
+    share = F.broadcast(sizes.select("lang", F.least(F.lit(1.0), train_docs / F.col("n")).alias("share")))
     sample = own.select("id", "lang", "text").join(share, "lang").where(F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 20)) < F.col("share") * (1 << 20))
 
     def count(batches):
