@@ -1,4 +1,5 @@
 import json
+import time
 from datetime import datetime
 
 from tidewell.plans.store import Store
@@ -173,3 +174,90 @@ def test_firehose_as_a_stream(spark, tmp_path):
     finally:
         query.stop()
     assert seen == [10, 20, 30]
+
+
+def numbered(path, times):
+    """Adds events of these times, told apart by their texts, and says their values."""
+    old = path.read_text().count("\n") if path.exists() else 0
+    with path.open("a") as f:
+        for i, t in enumerate(times, old):
+            f.write(json.dumps(document(text=f"t{i}") | {"time_us": t}) + "\n")
+    return list(range(old, old + len(times)))
+
+
+def texts(rows):
+    return [int(json.loads(r[1])["commit"]["record"]["text"][1:]) for r in rows]
+
+
+def test_recorded_events_older_than_the_overlap_come_after_a_cut_at_the_end_and_after_a_restart(tmp_path):
+    path, s = tmp_path / "feed.jsonl", 1_000_000
+    numbered(path, [100 * s, 300 * s, 20 * s, 301 * s, 302 * s, 50 * s])
+    options = {"url": f"ws://local?file={path}", "maxEvents": "2"}
+    reader, at, seen, cuts = firehose.FirehoseReader(options), {"time_us": 0, "events": 0}, [], []
+    for _ in range(4):
+        rows, end = reader.read(at)
+        seen += texts(rows)
+        cuts.append((at, end))
+        at = end
+    assert seen == [0, 1, 2, 3, 4, 5] and at == {"time_us": 302 * s, "events": 6}
+    assert [texts(firehose.FirehoseReader(options).readBetweenOffsets(*c)) for c in cuts] == [[0, 1], [2, 3], [4, 5], []]
+    numbered(path, [30 * s])  # long past, and appended after the end was seen
+    assert texts(reader.read(at)[0]) == [6]
+    for start, own, rest in ((cuts[0][1], [1, 2], [3, 4, 5, 6]), (cuts[1][1], [1, 3], [4, 5, 6]), (at, [1, 3], [4, 6])):
+        again, seen = firehose.FirehoseReader(options), []
+        rows, end = again.read(start)
+        assert texts(rows) == own and end != start
+        for _ in range(3):  # the overlap once more, and all that wasn't read
+            rows, end = again.read(end)
+            seen += texts(rows)
+        assert seen == rest and again.read(end)[1] == end
+        numbered_again = firehose.FirehoseReader(options)  # a second restart, where repeats were handed on between
+        assert texts(numbered_again.read(end)[0]) == [1, 3]
+
+
+def test_recorded_repeats_and_a_line_that_is_being_written(tmp_path):
+    path = tmp_path / "feed.jsonl"
+    numbered(path, [9_000_000, 9_000_001])
+    lines = path.read_text().splitlines()
+    path.write_text("\n".join([lines[0], lines[0], lines[1][:-5]]))
+    reader = firehose.FirehoseReader({"url": f"ws://local?file={path}"})
+    rows, at = reader.read(reader.initialOffset())
+    assert texts(rows) == [0]
+    with path.open("a") as f:
+        f.write(lines[1][-5:])
+    rows, end = reader.read(at)
+    assert texts(rows) == [1] and texts(firehose.FirehoseReader({"url": f"ws://local?file={path}"}).readBetweenOffsets(at, end)) == [1]
+    with path.open("a") as f:
+        f.write("\n" + lines[0].replace("9000000", "1") + "\n")
+    assert texts(reader.read(end)[0]) == [0]
+
+
+def test_live_firehose_goes_on_with_its_connection_after_a_full_batch():
+    event = lambda t: frame(json.dumps(document(text="t0") | {"time_us": t}).encode())
+    times = [9_000_000_000, 9_000_000_001, 3_000_000_000, 2_000_000_000]
+    server = Server(b"".join(map(event, times)))
+    reader = firehose.FirehoseReader({"url": server.url, "maxEvents": "2", "connectionSeconds": "0.5"})
+    rows, at = reader.read({"time_us": 0, "events": 0})
+    time.sleep(0.7)  # what the batch takes isn't the connection's
+    more, at = reader.read(at)
+    assert [r[2] for r in [*rows, *more]] == times and at == {"time_us": 9_000_000_001, "events": 4} and len(server.asked) == 1
+
+
+def test_firehose_options_as_spark_gives_them():
+    from pyspark.sql.datasource import CaseInsensitiveDict
+
+    options = CaseInsensitiveDict({"url": "ws://local", "maxEvents": "7", "overlapSeconds": "2", "connectionSeconds": "3", "Collection": "like"})
+    reader = firehose.Firehose(options).simpleStreamReader(None)
+    assert (reader.most, reader.overlap, reader.seconds, reader.collection) == (7, 2, 3.0, "like")
+
+
+def test_firehose_messages_lose_nothing_between_batches(spark, tmp_path):
+    import __spark_entry__ as entry
+    from tests.oracle import assert_same
+
+    # 36,000 events of one log partition, times in disorder: more than one batch of the source, each event long past in some later batch.
+    spark.range(36_000).selectExpr(
+        "id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, pmod(id * 7919, 36000)) AS ts", "id % 500 * 3 AS user_id",
+        "element_at(array('view', 'click', 'purchase', 'signup', 'error'), CAST(id % 5 AS INT) + 1) AS event_type", "0.0D AS value", "'{\"k\": 1}' AS props",
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    assert_same(entry.queries()["firehose_messages"], entry.oracle_sql()["firehose_messages"], spark, str(tmp_path))
