@@ -55,6 +55,26 @@ def test_query_against_the_library(spark, tiny, library):
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
 
 
+def test_encode_and_decode_in_one_pass(spark, tiny, library):
+    rows = awkward() + [(20, "q" * 5000 + " <|endoftext|>x<|startoftext|>"), (21, "a\x1cb c​d")]
+    path = bpe.default_vocabulary()
+    docs = frame(spark, rows).withColumnRenamed("n_words", "token_ids").withColumnRenamed("spans", "decoded")
+    both = bpe.encode(docs, path, decoded="decoded")
+    assert sorted(both.columns) == sorted(docs.columns)
+    for r in both.collect():
+        ids = library.encode(r.text or "", add_special_tokens=False).ids
+        assert np.frombuffer(bytes(r.token_ids), "<u4").tolist() == ids
+        assert r.decoded == library.decode(ids, skip_special_tokens=False)
+    in_turn = bpe.decode(bpe.encode(docs, path), path)
+    assert sorted(map(repr, both.select(sorted(both.columns)).collect())) == sorted(map(repr, in_turn.select(sorted(both.columns)).collect()))
+    assert bpe.encode(frame(spark, []), path, decoded="decoded").count() == 0
+
+
+def test_a_task_of_the_query_waits_for_one_python_worker(spark, tiny):
+    plan = registry.queries()["op2_bpe"](spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_refuses_other_models():
     import public_tokenizers
 

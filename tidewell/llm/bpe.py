@@ -200,23 +200,35 @@ def codec(path: str, **options) -> Codec:
     return _CODECS[key]
 
 
-def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", keep: list[str] | None = None, ids: str = "token_ids", leaf: int = LEAF, long_run: int = LONG_RUN) -> DataFrame:
+def _texts(tokens: pa.Array, offsets: np.ndarray, data: np.ndarray) -> pa.Array:
+    """The text of each binary value's packed ids: their tokens joined by one space."""
+    own = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4")
+    o, d = string_buffers(pc.take(tokens, pa.array(own)))
+    at = o[(offsets - offsets[0]) // 4]
+    body = d.tobytes()
+    return pa.array([body[a : max(a, b - 1)].decode() for a, b in zip(at[:-1], at[1:], strict=True)], pa.string())
+
+
+def encode(docs: DataFrame, vocabulary: str, *, text: str = "text", keep: list[str] | None = None, ids: str = "token_ids", decoded: str | None = None, leaf: int = LEAF, long_run: int = LONG_RUN) -> DataFrame:
     """Adds ``ids``: each text's token ids, packed as little-endian unsigned 32-bit integers.
 
     Without special tokens added, truncation or padding; the strings of special
     tokens in a text count as these, as in the library.  Null and blank texts
     give no ids.  ``vocabulary`` is a path that every executor has.  An input
-    column named ``ids`` gives way.
+    column named ``ids`` gives way.  ``decoded`` names a column for what
+    ``decode`` makes of the packed ids, so both take one pass of one worker.
     """
 
     def run(texts, _):
         words = Words(texts, SPACED)
         packed = pa.array(codec(vocabulary, leaf=leaf, long_run=long_run).runs(words.uniq.to_pylist()), pa.binary())
         offsets, data = string_buffers(pc.take(packed, pa.array(words.codes)))
-        at = offsets[words.offs].astype(np.int32)
-        return [pa.Array.from_buffers(pa.binary(), words.n_docs, [None, pa.py_buffer(at.tobytes()), pa.py_buffer(data)])]
+        offsets = offsets[words.offs]
+        out = [pa.Array.from_buffers(pa.binary(), words.n_docs, [None, pa.py_buffer(offsets.astype(np.int32).tobytes()), pa.py_buffer(data)])]
+        return out if decoded is None else [*out, _texts(token_table(vocabulary), offsets, data)]
 
-    return map_text(docs, run, [T.StructField(ids, T.BinaryType())], text, keep)
+    fields = [T.StructField(ids, T.BinaryType()), *([] if decoded is None else [T.StructField(decoded, T.StringType())])]
+    return map_text(docs, run, fields, text, keep)
 
 
 def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out: str = "decoded", keep: list[str] | None = None) -> DataFrame:
@@ -231,14 +243,9 @@ def decode(encoded: DataFrame, vocabulary: str, *, ids: str = "token_ids", out:
         tokens = token_table(vocabulary)
         for batch in batches:
             for part in chunks(batch, "ids"):
-                offsets, data = string_buffers(part.column(len(kept)))
-                own = np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), "<u4")
-                o, d = string_buffers(pc.take(tokens, pa.array(own)))
-                at = o[(offsets - offsets[0]) // 4]
-                body = d.tobytes()
-                texts = [body[a : max(a, b - 1)].decode() for a, b in zip(at[:-1], at[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], pa.array(texts, pa.string())], names=[*kept, out])
-                del own, o, d, at, body, texts
+                texts = _texts(tokens, *string_buffers(part.column(len(kept))))
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(len(kept))], texts], names=[*kept, out])
+                del texts
         give_back()
 
     schema = T.StructType([*[T.StructField(c, encoded.schema[c].dataType) for c in kept], T.StructField(out, T.StringType())])
@@ -254,8 +261,7 @@ def default_vocabulary() -> str:
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = default_vocabulary()
-    encoded = encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    done = decode(encoded, path)
+    done = encode(read(spark, sf_dir, "documents"), path, keep=["doc_id"], decoded="decoded")
     return done.select(
         "doc_id",
         (F.octet_length("token_ids") / 4).cast("long").alias("n_tokens"),
